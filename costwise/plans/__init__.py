@@ -6,5 +6,5 @@ from .registry import QUERIES, Query
 
 
 def all_queries() -> dict[str, Query]:
-    from . import costs, stock, versions  # noqa: F401  (registration side effects)
+    from . import bom, costs, stock, versions  # noqa: F401  (registration side effects)
     return dict(QUERIES)

@@ -10,8 +10,8 @@ from ..operators.picks import latest_row
 from ..operators.upsert import upsert_newer
 from .registry import register
 
-_COST_INPUTS_SQL = """
-WITH agg AS (
+COST_CTES = """
+agg AS (
   SELECT l_partkey, min(l_quantity) AS min_q, max(l_quantity) AS max_q, count(*) AS n
   FROM lineitem GROUP BY l_partkey),
 c AS (
@@ -22,8 +22,27 @@ c AS (
     CASE WHEN p_size > 45 THEN CAST(p_retailprice AS DECIMAL(18,2)) END AS estimate,
     CASE WHEN p_size % 2 = 0 THEN CAST(a.min_q AS DECIMAL(18,2)) END AS purchase,
     CASE WHEN p_size % 3 = 0 THEN CAST(a.n AS DECIMAL(18,2)) END AS legacy
-  FROM part LEFT JOIN agg a ON a.l_partkey = p_partkey)
-"""
+  FROM part LEFT JOIN agg a ON a.l_partkey = p_partkey)"""
+
+
+def unit_cost_sql(e, d, u, s, p, g):
+    """(type, cost) SQL CASE expressions of the unit-cost selection."""
+    z = lambda x: f"coalesce({x}, 0)"
+    conds = [
+        (f"{z(e)} != 0", "Cifraj", e),
+        (f"{z(d)} != 0 AND {z(d)} >= {z(u)} AND {z(d)} >= {z(s)}", "NAV Last Direct Cost", d),
+        (f"{z(u)} != 0 AND {z(u)} >= {z(s)} AND {z(u)} > {z(d)}", "NAV Unit Cost", u),
+        (f"{z(s)} != 0 AND {z(s)} > {z(u)} AND {z(s)} > {z(d)}", "NAV Standard Cost", s),
+        (f"{z(p)} != 0", "NAV Last Purchase Price", p),
+        (f"{z(g)} != 0", "Legacy Unit Cost", g),
+    ]
+    kind = "CASE " + " ".join(f"WHEN {c} THEN '{k}'" for c, k, _ in conds) + " ELSE 'No Unit Cost' END"
+    cost = ("CAST(CASE " + " ".join(f"WHEN {c} THEN {v}" for c, _, v in conds)
+            + " ELSE 0 END AS DECIMAL(15,5))")
+    return kind, cost
+
+
+_UC_TYPE, _UC_COST = unit_cost_sql("estimate", "nav_last", "nav_unit", "nav_standard", "purchase", "legacy")
 
 
 def _cost_inputs(t):
@@ -42,23 +61,8 @@ def _cost_inputs(t):
         F.when(size % 3 == 0, d(F.col("n"))).alias("legacy"))
 
 
-@register("unit_cost_type", _COST_INPUTS_SQL + """
-SELECT item_no,
-  CASE WHEN coalesce(estimate, 0) != 0 THEN 'Cifraj'
-       WHEN coalesce(nav_last, 0) != 0 AND coalesce(nav_last, 0) >= coalesce(nav_unit, 0) AND coalesce(nav_last, 0) >= coalesce(nav_standard, 0) THEN 'NAV Last Direct Cost'
-       WHEN coalesce(nav_unit, 0) != 0 AND coalesce(nav_unit, 0) >= coalesce(nav_standard, 0) AND coalesce(nav_unit, 0) > coalesce(nav_last, 0) THEN 'NAV Unit Cost'
-       WHEN coalesce(nav_standard, 0) != 0 AND coalesce(nav_standard, 0) > coalesce(nav_unit, 0) AND coalesce(nav_standard, 0) > coalesce(nav_last, 0) THEN 'NAV Standard Cost'
-       WHEN coalesce(purchase, 0) != 0 THEN 'NAV Last Purchase Price'
-       WHEN coalesce(legacy, 0) != 0 THEN 'Legacy Unit Cost'
-       ELSE 'No Unit Cost' END AS unit_cost_type,
-  CAST(CASE WHEN coalesce(estimate, 0) != 0 THEN estimate
-       WHEN coalesce(nav_last, 0) != 0 AND coalesce(nav_last, 0) >= coalesce(nav_unit, 0) AND coalesce(nav_last, 0) >= coalesce(nav_standard, 0) THEN nav_last
-       WHEN coalesce(nav_unit, 0) != 0 AND coalesce(nav_unit, 0) >= coalesce(nav_standard, 0) AND coalesce(nav_unit, 0) > coalesce(nav_last, 0) THEN nav_unit
-       WHEN coalesce(nav_standard, 0) != 0 AND coalesce(nav_standard, 0) > coalesce(nav_unit, 0) AND coalesce(nav_standard, 0) > coalesce(nav_last, 0) THEN nav_standard
-       WHEN coalesce(purchase, 0) != 0 THEN purchase
-       WHEN coalesce(legacy, 0) != 0 THEN legacy
-       ELSE 0 END AS DOUBLE) AS unit_cost
-FROM c""")
+@register("unit_cost_type", "WITH " + COST_CTES + f"""
+SELECT item_no, {_UC_TYPE} AS unit_cost_type, CAST({_UC_COST} AS DOUBLE) AS unit_cost FROM c""")
 def unit_cost_type(t):
     """Unit-cost selection over six cost columns per part."""
     c = _cost_inputs(t)
@@ -67,7 +71,7 @@ def unit_cost_type(t):
                     uc.unit_cost.cast("double").alias("unit_cost"))
 
 
-_ITEM_UOM_SQL = """
+ITEM_UOM_SQL = """
 item_uom AS (
   SELECT CAST(p_partkey AS VARCHAR) AS item_no, 'UN' AS code, CAST(1 AS DECIMAL(18,9)) AS qty_per_uom FROM part
   UNION ALL
@@ -87,7 +91,7 @@ def item_uom(t):
     return un.unionByName(box).unionByName(pal)
 
 
-@register("uom_convert", "WITH " + _ITEM_UOM_SQL + """,
+@register("uom_convert", "WITH " + ITEM_UOM_SQL + """,
 req AS (
   SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS item_no,
          CASE WHEN l_returnflag = 'R' THEN 'box' ELSE 'UN' END AS from_uom,

@@ -22,6 +22,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -48,3 +49,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(folder)
         return sc.getCheckpointDir() or folder
     raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS)")
+
+
+def materialize(df, label: str = "stage"):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage *and* the logical plan (a checkpointed Dataset keeps its origin
+    plan, which nests level after level in iterative jobs). A lost executor re-reads
+    the files instead of recomputing earlier iterations.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/costwise-{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
