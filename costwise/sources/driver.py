@@ -80,3 +80,40 @@ def entry_numbered(df: DataFrame, txn: str = "l_orderkey") -> DataFrame:
     (a window partitioned by the transaction, never a global one)."""
     w = Window.partitionBy(txn).orderBy("l_partkey", "l_suppkey", "l_linenumber")
     return df.withColumn("entry_no", F.col(txn) * 100 + F.row_number().over(w))
+
+
+def gl_entries(t: Tables) -> DataFrame:
+    """G/L entries: one per line item. Transaction = order, posting day = order date.
+
+    Debit side: returned lines and open normal lines, account 6x; the others credit,
+    account 7x (x = supplier mod 5). Lines without discount carry no amount (dropped
+    by the reconciliation scope). Source type cycles 0/1/2 (none/customer/vendor).
+    """
+    l = t.lineitem.join(t.orders.select("o_orderkey", "o_orderdate", "o_custkey"),
+                        F.col("l_orderkey") == F.col("o_orderkey"))
+    l = entry_numbered(l)
+    ds = (F.col("l_returnflag") == "R") | ((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))
+    amt = F.col("l_quantity").cast("decimal(18,2)")
+    zero = F.lit(0).cast("decimal(18,2)")
+    st = (F.col("l_linenumber") % 3).cast("int")
+    return l.select(
+        F.col("o_orderdate").cast("date").alias("posting_date"), F.col("l_orderkey").alias("transaction_no"),
+        "entry_no",
+        F.concat(F.when(ds, F.lit("6")).otherwise(F.lit("7")), (F.col("l_suppkey") % 5).cast("string")).alias("account"),
+        st.alias("source_type"),
+        F.when(st == 1, F.col("o_custkey").cast("string")).when(st == 2, F.col("l_suppkey").cast("string"))
+        .otherwise(F.lit("")).alias("source_no"),
+        F.when(F.col("l_discount") == 0, zero).when(ds, amt).otherwise(zero).alias("debit"),
+        F.when(F.col("l_discount") == 0, zero).when(ds, zero).otherwise(amt).alias("credit"),
+        F.col("l_partkey").alias("part_no"))
+
+
+def gl_item_relations(gl: DataFrame) -> DataFrame:
+    """Value-entry links: parts divisible by 3 link to one of two value entries of the
+    order, parts divisible by 12 also to a third."""
+    a = gl.filter(F.col("part_no") % 3 == 0).select(
+        F.col("entry_no").alias("gl_entry_no"),
+        (F.col("transaction_no") * 10 + F.col("part_no") % 2).alias("value_entry_no"))
+    b = gl.filter(F.col("part_no") % 12 == 0).select(
+        F.col("entry_no").alias("gl_entry_no"), (F.col("transaction_no") * 10 + 5).alias("value_entry_no"))
+    return a.unionByName(b)
