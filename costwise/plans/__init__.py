@@ -6,5 +6,5 @@ from .registry import QUERIES, Query
 
 
 def all_queries() -> dict[str, Query]:
-    from . import ageing, allocation, bom, controls, costs, gl, ledger, prices, stock, versions  # noqa: F401  (registration side effects)
+    from . import ageing, allocation, bom, controls, costs, gl, ledger, prices, products, stock, versions  # noqa: F401  (registration side effects)
     return dict(QUERIES)

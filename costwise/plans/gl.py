@@ -185,3 +185,19 @@ def gl_gates(t):
     """Balance-gate violations (the source raises on the first; here every violation is a row)."""
     g = _reconciled(t)["gates"]
     return g.withColumn("debit", F.col("debit").cast("double")).withColumn("credit", F.col("credit").cast("double"))
+
+
+MONTH = ("1996-03-01", "1996-03-31")
+
+
+@register("gl_month", GL_SQL + _SEL + f"WHERE posting_date BETWEEN DATE '{MONTH[0]}' AND DATE '{MONTH[1]}'")
+def gl_month(t):
+    """Month driver: all reconciliation types for every day of one month, as one job (no day loop).
+
+    The date range is validated first (start <= end, both in one month)."""
+    start, end = (F.lit(x).cast("date") for x in MONTH)
+    if MONTH[0][:7] != MONTH[1][:7] or MONTH[0] > MONTH[1]:
+        raise ValueError(f"bad month range {MONTH}")
+    gl = D.gl_entries(t).filter(F.col("posting_date").between(start, end))
+    r = R.reconcile(gl, D.gl_item_relations(gl))["result"]
+    return r.withColumn("debit", F.col("debit").cast("double")).withColumn("credit", F.col("credit").cast("double"))
