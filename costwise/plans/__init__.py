@@ -6,5 +6,7 @@ from .registry import QUERIES, Query
 
 
 def all_queries() -> dict[str, Query]:
-    from . import ageing, allocation, bom, controls, costs, gl, ledger, prices, products, stock, versions  # noqa: F401  (registration side effects)
+    # importing the plan modules registers their queries
+    from . import (ageing, allocation, bom, controls, costs, gl, ledger, prices, products,  # noqa: F401
+                   production, stock, versions)
     return dict(QUERIES)

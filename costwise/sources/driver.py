@@ -117,3 +117,67 @@ def gl_item_relations(gl: DataFrame) -> DataFrame:
     b = gl.filter(F.col("part_no") % 12 == 0).select(
         F.col("entry_no").alias("gl_entry_no"), (F.col("transaction_no") * 10 + 5).alias("value_entry_no"))
     return a.unionByName(b)
+
+
+# --- production orders, order lines, routing lines, components, capacity ledger ---------------
+
+def prod_orders(t: Tables) -> DataFrame:
+    """Production orders: one per order (O -> released, F -> finished, P -> planned)."""
+    return t.orders.select(
+        F.col("o_orderkey").alias("order_no"),
+        F.when(F.col("o_orderstatus") == "O", STATUS_RELEASED).when(F.col("o_orderstatus") == "F", STATUS_FINISHED)
+        .otherwise(STATUS_PLANNED).alias("status"),
+        F.concat(F.lit("L"), (F.col("o_custkey") % 4).cast("string")).alias("location_code"),
+        F.col("o_orderdate").cast("date").alias("last_modified"),
+        F.concat(F.lit("PK"), F.col("o_custkey").cast("string")).alias("source_no"),
+        F.col("o_orderpriority").alias("description"))
+
+
+def prod_order_lines(t: Tables) -> DataFrame:
+    l = t.lineitem
+    return l.select(F.col("l_orderkey").alias("order_no"), F.col("l_linenumber").alias("line_no"),
+                    F.col("l_partkey").alias("item_no"),
+                    F.concat(F.lit("L"), (F.col("l_suppkey") % 4).cast("string")).alias("location_code"),
+                    F.col("l_quantity").cast("decimal(18,2)").alias("quantity"))
+
+
+def _link(k: Column) -> Column:
+    return F.when(k % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("RL"), (k % 3).cast("string")))
+
+
+def order_routing(t: Tables) -> DataFrame:
+    """Order routing lines: operation numbers are text (0, 15, ..., 90)."""
+    l = t.lineitem
+    return l.select(F.col("l_orderkey").alias("order_no"), F.col("l_linenumber").alias("routing_ref"),
+                    ((F.col("l_partkey") % 7) * 15).cast("string").alias("operation_no"),
+                    F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(F.lit("X")).alias("next_operation_no"),
+                    _link(F.col("l_partkey")).alias("link_code"))
+
+
+def capacity_ledger(t: Tables) -> DataFrame:
+    l = t.lineitem
+    return l.select(F.col("l_orderkey").alias("order_no"), F.col("l_linenumber").alias("line_no"),
+                    F.col("l_linenumber").alias("routing_ref"),
+                    ((F.col("l_suppkey") % 7) * 15).cast("string").alias("operation_no"),
+                    F.col("l_shipdate").cast("date").alias("posting_date"),
+                    F.col("l_quantity").cast("decimal(18,2)").alias("output_qty"),
+                    (F.col("l_tax").cast("decimal(18,2)") * 100).cast("decimal(18,2)").alias("scrap_qty"))
+
+
+def order_components(t: Tables) -> DataFrame:
+    l = t.lineitem
+    return l.select(F.col("l_orderkey").alias("order_no"), F.col("l_linenumber").alias("order_line_no"),
+                    F.col("l_partkey").alias("item_no"),
+                    F.concat(F.lit("L"), (F.col("l_suppkey") % 4).cast("string")).alias("location_code"),
+                    (F.col("l_discount").cast("decimal(18,2)") * 100).cast("decimal(18,9)").alias("quantity_per"),
+                    F.when(F.col("l_partkey") % 5 == 0, F.lit("BOX")).otherwise(F.lit("UN")).alias("uom"),
+                    _link(F.col("l_suppkey")).alias("link_code"))
+
+
+def stock_differences(t: Tables) -> DataFrame:
+    """Counted stock differences (caller-supplied in the source): one per part with size % 4 = 0."""
+    return t.part.filter(F.col("p_size") % 4 == 0).select(
+        F.concat(F.lit("L"), (F.col("p_partkey") % 4).cast("string")).alias("locatie"),
+        F.col("p_partkey").alias("reper"),
+        F.when(F.col("p_partkey") % 2 == 0, F.lit("BOX")).otherwise(F.lit("UN")).alias("umas"),
+        F.lit("minus").alias("tip"), F.col("p_size").cast("decimal(20,2)").alias("cantitate"))
