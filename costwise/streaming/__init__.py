@@ -1,0 +1 @@
+"""Incremental loads with Structured Streaming."""
