@@ -52,40 +52,42 @@ def _fold_expr() -> str:
       acc -> acc.pairs)"""
 
 
-def match_pairs(rows: DataFrame, keys: Sequence[str], cap: bool) -> DataFrame:
+def match_pairs(rows: DataFrame, keys: Sequence[str], cap: bool, prepartitioned: bool = False) -> DataFrame:
     """Pairs (keys..., e1, e2) with e1 < e2 by the matching rule.
 
     rows: keys, entry_no (unique in a group), account, debit, credit (decimal(18,2)).
+    The rows are hash-partitioned by ``keys`` once; every later window, aggregate and
+    join is keyed by a superset of ``keys`` and reuses that partitioning (one shuffle).
     """
     keys = list(keys)
     r = rows.select(*keys, "entry_no", "account", "debit", "credit")
-    two_sided = (r.groupBy(*keys).agg(F.max(((F.col("debit") != 0) & (F.col("credit") != 0)).cast("int"))
-                                      .alias("_two")))
-    r = r.join(two_sided, keys)
-    one = r.filter(F.col("_two") == 0).withColumn(
-        "_amt", F.when(F.col("debit") != 0, F.col("debit")).otherwise(F.col("credit"))).withColumn(
-        "_side", F.when(F.col("debit") != 0, F.lit("D")).otherwise(F.lit("C")))
+    if not prepartitioned:
+        r = r.repartition(*keys)
+    w_tx = Window.partitionBy(*keys)
+    r = r.withColumn("_two", F.max(((F.col("debit") != 0) & (F.col("credit") != 0)).cast("int")).over(w_tx))
+    one = (r.filter(F.col("_two") == 0)
+           .withColumn("_amt", F.when(F.col("debit") != 0, F.col("debit")).otherwise(F.col("credit")))
+           .withColumn("_d", (F.col("debit") != 0).cast("int")))
     sub = keys + ["_amt"]
-    overlap = (one.groupBy(*sub, "account").agg(F.countDistinct("_side").alias("_ns"))
-               .groupBy(*sub).agg(F.max("_ns").alias("_ns")))
-    one = one.join(overlap, sub)
-    fast = one.filter(F.col("_ns") < 2)
-    w = Window.partitionBy(*sub, "_side").orderBy("entry_no")
-    fast = fast.withColumn("_k", F.row_number().over(w))
-    d = fast.filter(F.col("_side") == "D").select(*sub, "_k", F.col("entry_no").alias("_de"))
-    c = fast.filter(F.col("_side") == "C").select(*sub, "_k", F.col("entry_no").alias("_ce"))
+    w_acct = Window.partitionBy(*sub, "account")
+    one = one.withColumn("_both", F.max("_d").over(w_acct) - F.min("_d").over(w_acct))
+    one = one.withColumn("_ns", F.max("_both").over(Window.partitionBy(*sub)))
+    fast = one.filter(F.col("_ns") == 0)
+    fast = fast.withColumn("_k", F.row_number().over(Window.partitionBy(*sub, "_d").orderBy("entry_no")))
+    d = fast.filter(F.col("_d") == 1).select(*sub, "_k", F.col("entry_no").alias("_de"))
+    c = fast.filter(F.col("_d") == 0).select(*sub, "_k", F.col("entry_no").alias("_ce"))
     fast_pairs = d.join(c, sub + ["_k"]).select(*keys, F.least("_de", "_ce").alias("e1"),
                                                 F.greatest("_de", "_ce").alias("e2"))
-    exact_sub = one.filter(F.col("_ns") >= 2).select(*sub, "entry_no", "account", "debit", "credit")
-    exact_tx = r.filter(F.col("_two") == 1).select(*keys, "entry_no", "account", "debit", "credit")
     fold = F.expr(_fold_expr())
+    exact_sub = one.filter(F.col("_ns") == 1)
+    exact_tx = r.filter(F.col("_two") == 1)
     p1 = exact_sub.groupBy(*sub).agg(fold.alias("_p")).select(*keys, F.explode("_p").alias("_x"))
     p2 = exact_tx.groupBy(*keys).agg(fold.alias("_p")).select(*keys, F.explode("_p").alias("_x"))
     exact_pairs = p1.unionByName(p2).select(*keys, F.col("_x.e1").alias("e1"), F.col("_x.e2").alias("e2"))
     pairs = fast_pairs.unionByName(exact_pairs)
     if not cap:
         return pairs
-    n = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    n = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     stats = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_np"), F.max("e1").alias("_last"))
     drop = (stats.join(n, keys).filter(((F.col("_n") % 2) == 1) & (F.col("_np") > F.greatest(
         F.lit(0), F.expr("(_n - 3) div 2")))).select(*keys, F.col("_last").alias("e1")))
@@ -173,12 +175,12 @@ def reconcile(entries: DataFrame, relations: DataFrame) -> dict[str, DataFrame]:
     keys = ["posting_date", "transaction_no"]
     scope = entries.filter((F.col("debit") != 0) | (F.col("credit") != 0))
     links = materialize(link_keys(scope, relations), "gl-links")
-    s = materialize(scope.join(links, "entry_no", "left"), "gl-scope")
-    item_tx = s.filter(F.col("item_link").isNotNull()).select(*keys).distinct()
-    nonitem = s.join(item_tx, keys, "left_anti")
-    item = s.join(item_tx, keys, "left_semi")
+    s = materialize(scope.join(links, "entry_no", "left"), "gl-scope").repartition(*keys)
+    s = s.withColumn("_item_tx", F.max(F.col("item_link").isNotNull().cast("int")).over(Window.partitionBy(*keys)))
+    nonitem = s.filter(F.col("_item_tx") == 0).drop("_item_tx")
+    item = s.filter(F.col("_item_tx") == 1).drop("_item_tx")
 
-    pairs = materialize(match_pairs(nonitem, keys, cap=True), "gl-pairs")
+    pairs = materialize(match_pairs(nonitem, keys, cap=True, prepartitioned=True), "gl-pairs")
     paired = _pair_rows(pairs, nonitem, keys, TIP_PAIR)
     used = pairs.select(*keys, F.col("e1").alias("entry_no")).unionByName(
         pairs.select(*keys, F.col("e2").alias("entry_no")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import reconcile as R
+from ..session import materialize
 from ..sources import driver as D
 from .registry import register
 
@@ -129,7 +130,7 @@ _SEL = ("SELECT posting_date, tip, transaction_no, entry_no, account, bal_entry_
 
 
 def _reconciled(t):
-    gl = D.gl_entries(t)
+    gl = materialize(D.gl_entries(t), "gl-entries")
     return R.reconcile(gl, D.gl_item_relations(gl))
 
 
@@ -198,6 +199,6 @@ def gl_month(t):
     start, end = (F.lit(x).cast("date") for x in MONTH)
     if MONTH[0][:7] != MONTH[1][:7] or MONTH[0] > MONTH[1]:
         raise ValueError(f"bad month range {MONTH}")
-    gl = D.gl_entries(t).filter(F.col("posting_date").between(start, end))
+    gl = materialize(D.gl_entries(t).filter(F.col("posting_date").between(start, end)), "gl-entries")
     r = R.reconcile(gl, D.gl_item_relations(gl))["result"]
     return r.withColumn("debit", F.col("debit").cast("double")).withColumn("credit", F.col("credit").cast("double"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import reconcile as R
+from ..session import materialize
 from ..sources import driver as D
 from .gl import GL_SQL
 from .registry import register
@@ -69,7 +70,7 @@ LEFT JOIN customer c ON r.source_type = 1 AND r.source_no = CAST(c.c_custkey AS
 LEFT JOIN supplier v ON r.source_type = 2 AND r.source_no = CAST(v.s_suppkey AS VARCHAR)""")
 def gl_reconciled(t):
     """Reconciliation rows with document number, source-type name and customer/vendor name."""
-    gl = D.gl_entries(t)
+    gl = materialize(D.gl_entries(t), "gl-entries")
     res = R.reconcile(gl, D.gl_item_relations(gl))["result"]
     j = _names(t, res)
     return j.select("posting_date", "tip", "transaction_no", "entry_no", "account", "bal_entry_no", "bal_account",
