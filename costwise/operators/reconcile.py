@@ -164,14 +164,19 @@ def link_keys(entries: DataFrame, relations: DataFrame) -> DataFrame:
                                                               lambda v: v.cast("string")), ",").alias("item_link"))
 
 
-def reconcile(entries: DataFrame, relations: DataFrame) -> dict[str, DataFrame]:
+def reconcile(entries: DataFrame, relations: DataFrame, parts: Sequence[str] = ("nonitem", "item", "gates")
+              ) -> dict[str, DataFrame]:
     """Reconcile G/L entries of every posting day at once (posting date is in every key).
 
     entries: posting_date, transaction_no, entry_no, account, source_type, source_no, debit, credit.
     relations: gl_entry_no, value_entry_no.
     Returns {'result': reconciliation rows, 'gates': balance-gate violations,
-             'links': per-entry link keys}.
+             'links': per-entry link keys}. ``parts`` limits the work to the non-item
+    and/or item branch (the gates need both).
     """
+    parts = set(parts)
+    if "gates" in parts:
+        parts |= {"nonitem", "item"}
     keys = ["posting_date", "transaction_no"]
     scope = entries.filter((F.col("debit") != 0) | (F.col("credit") != 0))
     links = materialize(link_keys(scope, relations), "gl-links")
@@ -180,25 +185,30 @@ def reconcile(entries: DataFrame, relations: DataFrame) -> dict[str, DataFrame]:
     nonitem = s.filter(F.col("_item_tx") == 0).drop("_item_tx")
     item = s.filter(F.col("_item_tx") == 1).drop("_item_tx")
 
-    pairs = materialize(match_pairs(nonitem, keys, cap=True, prepartitioned=True), "gl-pairs")
-    paired = _pair_rows(pairs, nonitem, keys, TIP_PAIR)
-    used = pairs.select(*keys, F.col("e1").alias("entry_no")).unionByName(
-        pairs.select(*keys, F.col("e2").alias("entry_no")))
-    rest1 = materialize(nonitem.join(used, keys + ["entry_no"], "left_anti"), "gl-rest")
-    d_rows, rest2 = _one_to_many(rest1, keys, "debit", "credit", TIP_1D_NC, TIP_NC_1D)
-    c_rows, rest3 = _one_to_many(rest2, keys, "credit", "debit", TIP_1C_ND, TIP_ND_1C)
-    nonitem_err = _raw_rows(rest3, TIP_NONITEM_ERROR)
-
-    linked = item.filter(F.col("item_link").isNotNull())
-    lkeys = keys + ["item_link"]
-    lpairs = materialize(match_pairs(linked, lkeys, cap=False), "gl-link-pairs")
-    lrows = _pair_rows(lpairs, linked, lkeys, TIP_ITEM_LINK, link=True)
-    lused = lpairs.select(*lkeys, F.col("e1").alias("entry_no")).unionByName(
-        lpairs.select(*lkeys, F.col("e2").alias("entry_no")))
-    item_err = _raw_rows(linked.join(lused, lkeys + ["entry_no"], "left_anti"), TIP_ITEM_ERROR, link=True)
-
-    result = paired.unionByName(d_rows).unionByName(c_rows).unionByName(nonitem_err).unionByName(
-        lrows).unionByName(item_err).select(*OUT_COLS)
+    empty = _raw_rows(s.filter(F.lit(False)), TIP_NONITEM_ERROR)
+    nonitem_rows, item_rows, rest1 = empty, empty, None
+    if "nonitem" in parts:
+        pairs = materialize(match_pairs(nonitem, keys, cap=True, prepartitioned=True), "gl-pairs")
+        paired = _pair_rows(pairs, nonitem, keys, TIP_PAIR)
+        used = pairs.select(*keys, F.col("e1").alias("entry_no")).unionByName(
+            pairs.select(*keys, F.col("e2").alias("entry_no")))
+        rest1 = materialize(nonitem.join(used, keys + ["entry_no"], "left_anti"), "gl-rest")
+        d_rows, rest2 = _one_to_many(rest1, keys, "debit", "credit", TIP_1D_NC, TIP_NC_1D)
+        c_rows, rest3 = _one_to_many(rest2, keys, "credit", "debit", TIP_1C_ND, TIP_ND_1C)
+        nonitem_rows = (paired.unionByName(d_rows).unionByName(c_rows)
+                        .unionByName(_raw_rows(rest3, TIP_NONITEM_ERROR)).select(*OUT_COLS))
+    if "item" in parts:
+        linked = item.filter(F.col("item_link").isNotNull())
+        lkeys = keys + ["item_link"]
+        lpairs = materialize(match_pairs(linked, lkeys, cap=False), "gl-link-pairs")
+        lrows = _pair_rows(lpairs, linked, lkeys, TIP_ITEM_LINK, link=True)
+        lused = lpairs.select(*lkeys, F.col("e1").alias("entry_no")).unionByName(
+            lpairs.select(*lkeys, F.col("e2").alias("entry_no")))
+        item_err = _raw_rows(linked.join(lused, lkeys + ["entry_no"], "left_anti"), TIP_ITEM_ERROR, link=True)
+        item_rows = lrows.unionByName(item_err).select(*OUT_COLS)
+    result = nonitem_rows.unionByName(item_rows)
+    if "gates" not in parts:
+        return {"result": result, "gates": None, "links": links}
 
     def unbalanced(df, gate):
         return (df.groupBy(*keys).agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))

@@ -129,13 +129,17 @@ _SEL = ("SELECT posting_date, tip, transaction_no, entry_no, account, bal_entry_
         "source_no, CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit, item_link FROM result ")
 
 
-def _reconciled(t):
+_ITEM_TIPS = (R.TIP_ITEM_LINK, R.TIP_ITEM_ERROR)
+
+
+def _reconciled(t, parts=("nonitem", "item", "gates")):
     gl = materialize(D.gl_entries(t), "gl-entries")
-    return R.reconcile(gl, D.gl_item_relations(gl))
+    return R.reconcile(gl, D.gl_item_relations(gl), parts)
 
 
 def _result(t, tips):
-    r = _reconciled(t)["result"].filter(F.col("tip").isin(list(tips)))
+    parts = ["item"] if set(tips) <= set(_ITEM_TIPS) else ["nonitem"]
+    r = _reconciled(t, parts)["result"].filter(F.col("tip").isin(list(tips)))
     return r.withColumn("debit", F.col("debit").cast("double")).withColumn("credit", F.col("credit").cast("double"))
 
 
@@ -161,7 +165,9 @@ gl_item_errors = _reg("gl_item_errors", [R.TIP_ITEM_ERROR], "Unmatched linked en
 @register("gl_link_key", GL_SQL + "SELECT entry_no, item_link FROM links")
 def gl_link_key(t):
     """Ordered comma list of value-entry numbers per G/L entry."""
-    return _reconciled(t)["links"]
+    gl = D.gl_entries(t)
+    scope = gl.filter((F.col("debit") != 0) | (F.col("credit") != 0))
+    return R.link_keys(scope, D.gl_item_relations(gl))
 
 
 @register("gl_gates", GL_SQL + f""",
@@ -200,5 +206,5 @@ def gl_month(t):
     if MONTH[0][:7] != MONTH[1][:7] or MONTH[0] > MONTH[1]:
         raise ValueError(f"bad month range {MONTH}")
     gl = materialize(D.gl_entries(t).filter(F.col("posting_date").between(start, end)), "gl-entries")
-    r = R.reconcile(gl, D.gl_item_relations(gl))["result"]
+    r = R.reconcile(gl, D.gl_item_relations(gl), ("nonitem", "item"))["result"]
     return r.withColumn("debit", F.col("debit").cast("double")).withColumn("credit", F.col("credit").cast("double"))

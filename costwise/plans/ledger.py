@@ -71,7 +71,7 @@ LEFT JOIN supplier v ON r.source_type = 2 AND r.source_no = CAST(v.s_suppkey AS
 def gl_reconciled(t):
     """Reconciliation rows with document number, source-type name and customer/vendor name."""
     gl = materialize(D.gl_entries(t), "gl-entries")
-    res = R.reconcile(gl, D.gl_item_relations(gl))["result"]
+    res = R.reconcile(gl, D.gl_item_relations(gl), ("nonitem", "item"))["result"]
     j = _names(t, res)
     return j.select("posting_date", "tip", "transaction_no", "entry_no", "account", "bal_entry_no", "bal_account",
                     F.concat(F.lit("D"), F.col("transaction_no").cast("string")).alias("document_no"),
