@@ -151,7 +151,8 @@ def order_routing(t: Tables) -> DataFrame:
     return l.select(F.col("l_orderkey").alias("order_no"), F.col("l_linenumber").alias("routing_ref"),
                     ((F.col("l_partkey") % 7) * 15).cast("string").alias("operation_no"),
                     F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(F.lit("X")).alias("next_operation_no"),
-                    _link(F.col("l_partkey")).alias("link_code"))
+                    _link(F.col("l_partkey")).alias("link_code"),
+                    F.concat(F.lit("WC"), (F.col("l_partkey") % 4).cast("string")).alias("work_center"))
 
 
 def capacity_ledger(t: Tables) -> DataFrame:
