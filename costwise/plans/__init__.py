@@ -7,6 +7,6 @@ from .registry import QUERIES, Query
 
 def all_queries() -> dict[str, Query]:
     # importing the plan modules registers their queries
-    from . import (ageing, allocation, bom, controls, costs, gl, ledger, prices, products,  # noqa: F401
+    from . import (ageing, allocation, bom, controls, costing, costs, gl, ledger, prices, products,  # noqa: F401
                    production, stock, versions)
     return dict(QUERIES)

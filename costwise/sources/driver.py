@@ -162,7 +162,10 @@ def capacity_ledger(t: Tables) -> DataFrame:
                     ((F.col("l_suppkey") % 7) * 15).cast("string").alias("operation_no"),
                     F.col("l_shipdate").cast("date").alias("posting_date"),
                     F.col("l_quantity").cast("decimal(18,2)").alias("output_qty"),
-                    (F.col("l_tax").cast("decimal(18,2)") * 100).cast("decimal(18,2)").alias("scrap_qty"))
+                    (F.col("l_tax").cast("decimal(18,2)") * 100).cast("decimal(18,2)").alias("scrap_qty"),
+                    F.concat(F.lit("WC"), (F.col("l_suppkey") % 4).cast("string")).alias("work_center"),
+                    F.concat(F.lit("M"), (F.col("l_suppkey") % 10).cast("string")).alias("machine_no"),
+                    (F.col("l_discount").cast("decimal(18,2)") * 10).cast("decimal(18,2)").alias("workers_qty"))
 
 
 def order_components(t: Tables) -> DataFrame:
