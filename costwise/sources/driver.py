@@ -75,10 +75,16 @@ def entry_posting_group(suppkey: Column) -> Column:
             .otherwise(F.lit("SEMIFABR")))
 
 
+# Total order of the line items of one order: the documented key first, then every other
+# column, because (order, part, supplier, line number) repeats in the smaller tables.
+LINE_ORDER = ("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+              "l_returnflag", "l_linestatus", "l_shipdate")
+
+
 def entry_numbered(df: DataFrame, txn: str = "l_orderkey") -> DataFrame:
     """Entry number inside a transaction: row_number over the line's unique key
     (a window partitioned by the transaction, never a global one)."""
-    w = Window.partitionBy(txn).orderBy("l_partkey", "l_suppkey", "l_linenumber")
+    w = Window.partitionBy(txn).orderBy(*LINE_ORDER)
     return df.withColumn("entry_no", F.col(txn) * 100 + F.row_number().over(w))
 
 
