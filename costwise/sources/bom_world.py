@@ -32,6 +32,10 @@ def item_type(p_type):
 
 
 def edges(t: Tables) -> DataFrame:
+    return t.derived("edges", lambda: _edges(t))
+
+
+def _edges(t: Tables) -> DataFrame:
     p = t.part.select(F.col("p_partkey").alias("parent"), F.posexplode(
         F.array(F.col("p_partkey") * 2 + 1, F.col("p_partkey") * 2 + 2)).alias("k", "child"))
     c = t.part.select(F.col("p_partkey").alias("child"), F.col("p_size").alias("c_size"),
@@ -40,6 +44,10 @@ def edges(t: Tables) -> DataFrame:
 
 
 def bom_lines(t: Tables) -> DataFrame:
+    return t.derived("bom_lines", lambda: _bom_lines(t))
+
+
+def _bom_lines(t: Tables) -> DataFrame:
     e = edges(t)
     size = F.col("c_size")
     line_type = F.when(F.col("c_type") == "PROMO", F.lit(2)).otherwise(F.lit(1))
@@ -57,6 +65,10 @@ def bom_lines(t: Tables) -> DataFrame:
 
 
 def bom_header(t: Tables) -> DataFrame:
+    return t.derived("bom_header", lambda: _bom_header(t))
+
+
+def _bom_header(t: Tables) -> DataFrame:
     parents = edges(t).select("parent").distinct()
     p = t.part.join(parents, F.col("p_partkey") == F.col("parent"))
     return p.select(F.concat(F.lit("B"), _s(F.col("p_partkey"))).alias("no_"),
@@ -65,6 +77,10 @@ def bom_header(t: Tables) -> DataFrame:
 
 
 def routing_lines(t: Tables) -> DataFrame:
+    return t.derived("routing_lines", lambda: _routing_lines(t))
+
+
+def _routing_lines(t: Tables) -> DataFrame:
     l = t.lineitem.groupBy("l_partkey", "l_linenumber").agg(
         F.min("l_quantity").alias("setup"), F.max("l_tax").alias("run"), F.max("l_discount").alias("disc"))
     n = F.col("l_linenumber")
@@ -98,6 +114,10 @@ def _no_versions(header: DataFrame) -> DataFrame:
 
 
 def bom_candidates(t: Tables) -> DataFrame:
+    return t.derived("bom_candidates", lambda: _bom_candidates(t))
+
+
+def _bom_candidates(t: Tables) -> DataFrame:
     h = bom_header(t)
     return version_candidates(
         _no_versions(h), bom_lines(t), h, key="key", version="version", start="start", modified="modified",
@@ -131,6 +151,10 @@ def valid_lines(t: Tables, cand: DataFrame, as_of: str = AS_OF) -> DataFrame:
 
 
 def item_facts(t: Tables) -> DataFrame:
+    return t.derived("item_facts", lambda: _item_facts(t))
+
+
+def _item_facts(t: Tables) -> DataFrame:
     from ..plans.costs import _cost_inputs
     parents = edges(t).select(F.col("parent").alias("_par")).distinct()
     c = _cost_inputs(t)
@@ -150,6 +174,10 @@ def item_facts(t: Tables) -> DataFrame:
 
 
 def uom_rates(t: Tables) -> DataFrame:
+    return t.derived("uom_rates", lambda: _uom_rates(t))
+
+
+def _uom_rates(t: Tables) -> DataFrame:
     from ..plans.costs import item_uom
     u = item_uom(t)
     base = u.filter(F.upper("code") == "UN").select(F.col("item_no").alias("_b"), F.col("qty_per_uom").alias("_bq"))

@@ -19,6 +19,15 @@ class Tables:
         self.root = root.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
 
+    def derived(self, name: str, build) -> DataFrame:
+        """A view derived from the tables, built once per instance and kept persisted
+        (memory, spilling to disk) because one job reads it several times."""
+        key = f"derived:{name}"
+        if key not in self._cache:
+            from pyspark import StorageLevel
+            self._cache[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
+        return self._cache[key]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name in ("spark", "root"):
             raise AttributeError(name)
