@@ -14,6 +14,8 @@ rounds run in batches between materialisations with an early stop.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +23,14 @@ from ..session import materialize
 
 _B = "struct<m:date,q:decimal(18,2),c:decimal(18,2)>"
 
+_DROP_ZERO = "filter(b, x -> x.q != 0)"
+
+# one round on the non-zero buckets ``f`` (sorted by month): move, re-sort, merge equal months
 _ROUND = f"""
 aggregate(
-  array_sort(transform(filter(b, x -> x.q != 0), (x, i) -> named_struct(
-    'm', CASE WHEN x.q <= 0 AND i > 0 THEN element_at(filter(b, y -> y.q != 0), i).m
-              WHEN x.q <= 0 THEN coalesce(try_element_at(filter(b, y -> y.q != 0), i + 2).m, x.m)
+  array_sort(transform(f, (x, i) -> named_struct(
+    'm', CASE WHEN x.q <= 0 AND i > 0 THEN element_at(f, i).m
+              WHEN x.q <= 0 THEN coalesce(try_element_at(f, i + 2).m, x.m)
               ELSE x.m END,
     'q', x.q, 'c', x.c))),
   cast(array() as array<{_B}>),
@@ -45,21 +50,27 @@ def month_buckets(moves: DataFrame, start_date: str) -> DataFrame:
         F.round(F.sum("cost"), 2).cast("decimal(18,2)").alias("cost"))
 
 
-def age_stock(buckets: DataFrame, max_rounds: int, batch: int = 8) -> DataFrame:
+def age_stock(buckets: DataFrame, max_rounds: int, batch: int = 12) -> DataFrame:
     """Run the ageing rounds on (item_no, month, quantity, cost) buckets; items with a
     non-positive total are dropped first. Returns the final buckets."""
     totals = buckets.groupBy("item_no").agg(F.sum("quantity").alias("_t")).filter(F.col("_t") > 0).select("item_no")
     b = buckets.join(totals, "item_no", "left_semi")
     arr = b.groupBy("item_no").agg(F.array_sort(F.collect_list(
         F.struct(F.col("month").alias("m"), F.col("quantity").alias("q"), F.col("cost").alias("c")))).alias("b"))
-    done = 0
-    while done < max_rounds:
-        step = min(batch, max_rounds - done)
+    done_rounds, finished = 0, []
+    while done_rounds < max_rounds:
+        step = min(batch, max_rounds - done_rounds)
         for _ in range(step):
-            arr = arr.select("item_no", F.expr(_ROUND).alias("b"))
-        arr = materialize(arr, "ageing")
-        done += step
-        if arr.filter(F.exists("b", lambda x: x["q"] <= 0)).limit(1).count() == 0:
+            # two projections so the filtered array is computed once per round, not per element
+            arr = arr.select("item_no", F.expr(_DROP_ZERO).alias("f")).select("item_no", F.expr(_ROUND).alias("b"))
+        done_rounds += step
+        # converged items are fixed points: set them aside, keep rounding only the open ones
+        arr = materialize(arr.withColumn("_open", F.exists("b", lambda x: x["q"] <= 0)), "ageing")
+        finished.append(arr.filter(~F.col("_open")).drop("_open"))
+        arr = arr.filter(F.col("_open")).drop("_open")
+        if arr.limit(1).count() == 0:
             break
+    finished.append(arr)
+    arr = reduce(lambda a, b: a.unionByName(b), finished)
     return arr.select("item_no", F.inline("b")).select(
         "item_no", F.col("m").alias("month"), F.col("q").alias("quantity"), F.col("c").alias("cost"))
