@@ -158,7 +158,8 @@ def order_routing(t: Tables) -> DataFrame:
                     ((F.col("l_partkey") % 7) * 15).cast("string").alias("operation_no"),
                     F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(F.lit("X")).alias("next_operation_no"),
                     _link(F.col("l_partkey")).alias("link_code"),
-                    F.concat(F.lit("WC"), (F.col("l_partkey") % 4).cast("string")).alias("work_center"))
+                    F.concat(F.lit("WC"), (F.col("l_partkey") % 4).cast("string")).alias("work_center"),
+                    F.concat(F.lit("L"), (F.col("l_suppkey") % 4).cast("string")).alias("location_code"))
 
 
 def capacity_ledger(t: Tables) -> DataFrame:
