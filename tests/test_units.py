@@ -88,3 +88,43 @@ def test_match_pairs_against_loop(spark, cap):
     df = spark.createDataFrame(rows, "txn int, entry_no bigint, account string, debit decimal(18,2), credit decimal(18,2)")
     got = {(r["txn"], r["e1"], r["e2"]) for r in match_pairs(df, ["txn"], cap).collect()}
     assert got == want
+
+
+def test_closure_quantities_and_cycle(spark):
+    from costwise.operators.explode import CycleError, closure
+    seeds = spark.createDataFrame([("S", "B1")], "seed string, bom_no string")
+    edges = spark.createDataFrame([("B1", "X", "B2", 2), ("B2", "Y", None, 3), ("B1", "Z", None, 5)],
+                                  "bom_no string, item_no string, child_bom string, quantity_per int")
+    got = sorted((r["item_no"], r["level"], float(r["qty"])) for r in closure(seeds, edges).collect())
+    assert got == [("X", 1, 2.0), ("Y", 2, 6.0), ("Z", 1, 5.0)]
+    cyc = spark.createDataFrame([("B1", "X", "B2", 1), ("B2", "Y", "B1", 1)],
+                                "bom_no string, item_no string, child_bom string, quantity_per int")
+    with pytest.raises(CycleError):
+        closure(seeds, cyc, max_depth=6)
+
+
+def test_uom_rate_and_duplicate_keys(spark):
+    from costwise.operators.convert import assert_unique, with_uom_rate
+    uom = spark.createDataFrame([("I1", "UN", 1), ("I1", "box", 12), ("I2", "UN", 0)],
+                                "item_no string, code string, qty_per_uom int")
+    req = spark.createDataFrame([("i1", "un", "BOX"), ("I1", "UN", "PAL"), ("I2", "UN", "UN")],
+                                "item string, f string, t string")
+    got = sorted((r["item"], r["t"], float(r["rate"])) for r in with_uom_rate(req, "item", "f", "t", uom).collect())
+    assert got == [("I1", "PAL", -1.0), ("I2", "UN", -1.0), ("i1", "BOX", 12.0)]
+    dup = spark.createDataFrame([("I1", "BOX", 1), ("i1", "box", 2)], "item_no string, code string, qty_per_uom int")
+    with pytest.raises(ValueError):
+        assert_unique(dup.select(F.upper("item_no").alias("i"), F.upper("code").alias("c")), ["i", "c"])
+
+
+def test_ageing_rounds(spark):
+    from costwise.operators.ageing import age_stock
+    rows = [(1, "2021-01-01", 5, 5), (1, "2021-02-01", -3, -3), (1, "2021-03-01", -1, -1), (1, "2021-04-01", 4, 4),
+            (2, "2021-01-01", -2, -2), (2, "2021-02-01", 3, 3),
+            (3, "2021-01-01", -5, -5), (3, "2021-02-01", 1, 1)]
+    b = spark.createDataFrame(rows, "item_no int, month string, quantity int, cost int").select(
+        "item_no", F.col("month").cast("date").alias("month"), F.col("quantity").cast("decimal(18,2)").alias("quantity"),
+        F.col("cost").cast("decimal(18,2)").alias("cost"))
+    got = sorted((r["item_no"], str(r["month"]), float(r["quantity"])) for r in age_stock(b, 5).collect())
+    # item 1: -3 and -1 move back (2021-03 to 2021-02, 2021-02 to 2021-01), then the merged -1 moves back again
+    # item 2: first bucket moves forward; item 3 has a non-positive total and is dropped
+    assert got == [(1, "2021-01-01", 1.0), (1, "2021-04-01", 4.0), (2, "2021-02-01", 1.0)]
