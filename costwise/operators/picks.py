@@ -21,7 +21,7 @@ def latest_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rn:
 
 def version_candidates(versions: DataFrame, lines: DataFrame, header: DataFrame, *, key: str,
                        version: str, start: str, modified: str, location: str, status: str,
-                       rowversion: str, line_key: str, line_version: str, line_start: str,
+                       rowversion: str, line_key: str, line_version: str, line_start: str | None,
                        line_rowversion: str, header_key: str, header_status: str,
                        header_modified: str, statuses: Sequence[int] = (0, 1),
                        fallback_start: str | None = None) -> DataFrame:
@@ -44,6 +44,8 @@ def version_candidates(versions: DataFrame, lines: DataFrame, header: DataFrame,
     lines_nv = lines.filter(F.col(line_version).isNull() | (F.length(line_version) == 0))
     hdr = header.filter(F.col(header_status).isin(list(statuses))).select(
         F.col(header_key).alias("_hk"), F.col(header_modified).alias("_hm"))
+    if fallback_start is None and line_start is None:
+        raise ValueError("give line_start or fallback_start")
     start_col = (F.lit(fallback_start).cast("date") if fallback_start
                  else F.max(F.col(line_start).cast("date")))
     fallback = (lines_nv.join(hdr, F.col(line_key) == F.col("_hk"))

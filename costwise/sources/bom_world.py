@@ -134,7 +134,7 @@ def route_candidates(t: Tables, rl: DataFrame | None = None) -> DataFrame:
     return version_candidates(
         _no_versions(h), rl, h, key="key", version="version", start="start", modified="modified",
         location="location", status="status", rowversion="ts", line_key="routing_no", line_version="version_code",
-        line_start="routing_no", line_rowversion="ts", header_key="no_", header_status="status",
+        line_start=None, line_rowversion="ts", header_key="no_", header_status="status",
         header_modified="last_modified", fallback_start="1753-01-01")
 
 
