@@ -101,6 +101,7 @@ def actual(t):
             .groupBy("order_no", F.col("item_no").alias("source_no"), F.col("item_name").alias("source_name"), "range",
                      "location_code")
             .agg(F.round(F.sum("quantity"), 0).alias("output"), F.max("posting_date").alias("last_output")))
+    ords = t.derived("finished_orders", lambda: ords)
     items = part.select(F.col("p_partkey").alias("item_no"), F.col("p_name").alias("item_name"),
                         F.col("p_type").alias("posting_group"))
     head = ["order_no", "source_no", "source_name", "range", "output", "last_output", "location_code"]
