@@ -42,3 +42,18 @@ def test_ageing_keeps_item_totals(spark):
     after = {r["item_no"]: r["q"] for r in out.groupBy("item_no").agg(F.sum("quantity").alias("q")).collect()}
     for item, q in after.items():
         assert before[item] == q and q > 0
+
+
+def test_explosion_quantity_is_product_along_path(spark):
+    rows = all_queries()["bom_explode"].build(spark, SF).select(
+        "root_item", "line_path", "level", "quantity", "quantity_per").collect()
+    node = {(r["root_item"], r["line_path"]): r for r in rows}
+    assert any(r["level"] >= 2 for r in rows)
+    for r in rows:
+        if r["level"] == 0:
+            assert r["quantity"] == 1.0
+            continue
+        parent_path = r["line_path"][: r["line_path"][:-1].rfind("_") + 1]
+        p = node[(r["root_item"], parent_path)]
+        assert p["level"] == r["level"] - 1
+        assert abs(r["quantity"] - p["quantity"] * r["quantity_per"]) < 1e-6
