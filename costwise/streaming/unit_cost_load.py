@@ -6,6 +6,10 @@ is a folder of parquet files read as a stream; every micro-batch is de-duplicate
 the newest row per key and merged with ``upsert_newer``; the merged table is written
 to a new version folder and the pointer file is switched, so a failed batch leaves
 the previous version intact and a replayed batch is idempotent.
+
+The pointer switch is an atomic rename, which holds on a POSIX shared folder (NFS,
+mounted volumes); on an object store use a table format with atomic commits
+(``MERGE INTO`` on a lakehouse table) instead of the pointer file.
 """
 
 from __future__ import annotations
