@@ -25,6 +25,7 @@ from .tables import documents, materialize, read
 
 WORD = r"[^\x20\x09-\x0D]"
 GAP = r"[\x20\x09-\x0D]+"
+SYMBOLS = "#*$%&|<>"
 #: Rule: (ratio column, cutoffs from lenient to strict); a text is rejected at or above the cutoff.
 RULES: dict[str, tuple[float, ...]] = {
     "symbol_ratio": (4.0, 2.0, 1.0, 0.5, 0.25, 0.1),
@@ -36,6 +37,14 @@ ALPHA, DELTA = 0.05, 0.05
 TERMS = 1000
 
 
+def _count(text: str, chars: str) -> Column:
+    """Occurrences of any of the (single-byte) characters."""
+    total = F.lit(0).cast("long")
+    for c in chars:
+        total = total + F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit(c), F.lit("")))
+    return total
+
+
 def signals(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and base_failed.
     Windows of five words are compared by a 64-bit hash of their words."""
@@ -48,11 +57,9 @@ def signals(df: DataFrame, text: str = "text") -> DataFrame:
     near = lambda i: [F.get(h, i + k) for k in range(1, 5)]
     out = (out.withColumn("_g", F.when(F.size(h) >= 5, F.transform(
         F.slice(h, F.lit(1), F.size(h) - 4), lambda x, i: F.xxhash64(x, *near(i))))
-        .otherwise(F.array().cast("array<bigint>")))
-        .withColumn("_s", F.sort_array("_g")))
-    s = F.col("_s")
-    again = F.exists(F.transform(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1))), lambda y: y)
-    out = out.withColumn("_p", F.when(again, F.array_sort(F.transform(
+        .otherwise(F.array().cast("array<bigint>"))))
+    again = F.size(F.array_distinct("_g")) < F.size("_g")
+    out = out.withColumn("_p", F.when(again, F.sort_array(F.transform(
         "_g", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
     p = F.col("_p")
     twice = F.filter(p, lambda x, i: (x["h"] == F.get(p, i + 1)["h"]) | ((i > 0) & (x["h"] == F.get(p, i - 1)["h"])))
@@ -62,12 +69,12 @@ def signals(df: DataFrame, text: str = "text") -> DataFrame:
                           F.lit(0).cast("long"), lambda a, x: a + x)
     out = (out.withColumn("n_words", F.size("_w").cast("long"))
            .withColumn("word_chars", F.length(F.array_join("_w", "")).cast("long"))
-           .withColumn("n_symbols", F.regexp_count("_t", F.lit(r"[#*$%&|<>]")).cast("long"))
+           .withColumn("n_symbols", _count("_t", SYMBOLS))
            .withColumn("n_lines", F.size("_l").cast("long"))
            .withColumn("n_dup_lines", (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"))
            .withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))))
     return (out.withColumn("base_failed", (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20))
-            .drop("_t", "_w", "_l", "_h", "_g", "_s", "_p", "_at"))
+            .drop("_t", "_w", "_l", "_h", "_g", "_p", "_at"))
 
 
 def ratios(df: DataFrame) -> DataFrame:
