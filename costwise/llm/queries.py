@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat_query, quality_rules, sharding_query
+from . import bpe, chat_query, quality_rules, sharding_query
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op4_chat_format": chat_query.op4_chat_format,
+    "op6_byte_bpe": bpe.op6_byte_bpe,
     "op9_shards": sharding_query.op9_shards,
 }
 ORACLE_SQL = {

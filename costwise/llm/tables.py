@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,20 @@ from costwise.session import materialize
 __all__ = ["read", "documents", "materialize", "fold"]
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers of a local session import this package from its source folder; on a
+    cluster it is installed or shipped with the job, and the extra search path finds nothing."""
+    env = spark.sparkContext.environment
+    have = env.get("PYTHONPATH", "")
+    if ROOT not in have.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [have, ROOT]))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
