@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_query, quality_rules, sharding_query
+from . import bpe, chat_query, langid, pu, quality_rules, sharding_query, toxicity
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_pu_quality": pu.op3_pu_quality,
     "op4_chat_format": chat_query.op4_chat_format,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_shards": sharding_query.op9_shards,
+    "op10_language_id": langid.op10_language_id,
 }
 ORACLE_SQL = {
     "op2_quality_rules": quality_rules.ORACLE,

@@ -36,3 +36,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fold(doc_id, modulus: int):
     """crc32 of the id written as text, modulo ``modulus`` (a null id falls in fold 0)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(0)) % modulus
+
+
+def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
+    """About ``bound`` rows chosen by a hash of ``key`` (all rows if there are fewer). Used to fit
+    models only; scores and counts run over all rows."""
+    n = df.count()
+    if n <= bound:
+        return df
+    parts = 1 << 30
+    return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(parts)) < int(parts * bound / n))
