@@ -7,11 +7,29 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costwise.session import materialize
+from costwise import session
 
 __all__ = ["read", "documents", "materialize", "fold"]
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Writes ``df`` under the shared checkpoint folder and reads it back; the shuffle files of the
+    job that wrote it are removed with it, as nothing reads them again."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return session.materialize(df, label)
+    finally:
+        if before is None:
+            conf.unset(CLEANUP)
+        else:
+            conf.set(CLEANUP, before)
+
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
