@@ -7,8 +7,8 @@ share those k-mers in the same order. Keys of L = 4, 7 and 11 k-mers nest: the l
 split large buckets. Equal texts are one node, carried by their least id.
 
 Candidates: in buckets of up to ``SMALL`` texts all pairs; larger buckets link every text to the
-bucket's leader (the text with the most copies, then the least id) at each length, and the
-texts meet again in the finer buckets, where the same rule holds. So no bucket gives more than
+bucket's leader (the text with the most copies, then the least id) and to a second one that a
+hash picks, at each length, and the texts meet again in the finer buckets, where the same rule holds. So no bucket gives more than
 SMALL candidates for a text, and nothing is dropped for its size.
 
 Verification: banded alignment of the two k-mer sequences. The longest common subsequence c
@@ -139,13 +139,16 @@ def candidates(buckets: DataFrame) -> DataFrame:
     out, parent = None, buckets
     for length in LENGTHS:
         key = f"k{length}"
-        size = parent.groupBy(key).agg(F.count(F.lit(1)).alias("size"), F.min("rank").alias("lead")).filter("size > 1")
+        size = parent.groupBy(key).agg(F.count(F.lit(1)).alias("size"), F.min("rank").alias("lead"),
+                                       F.min(F.struct(F.xxhash64(F.col(key), F.col("node")), "node")).alias("other"))
+        size = size.filter("size > 1")
         met = materialize(parent.join(size, key), f"near-{key}")
         small = met.filter(F.col("size") <= SMALL)
         pairs = (small.select(key, F.col("node").alias("a")).join(small.select(key, F.col("node").alias("b")), key)
                  .filter("a < b").select("a", "b"))
-        star = met.filter((F.col("size") > SMALL) & (F.col("node") != F.col("lead.node"))).select(
-            F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
+        star = (met.filter(F.col("size") > SMALL)
+                .select("node", F.explode(F.array("lead.node", "other.node")).alias("to")).filter("node <> to")
+                .select(F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b")))
         both = pairs.unionByName(star)
         out = both if out is None else out.unionByName(both)
         parent = met.filter(F.col("size") > SMALL).select(*parent.columns)

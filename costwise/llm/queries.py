@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_query, langid, pu, quality_rules, sharding_query, suffix, toxicity
+from . import bpe, chat_query, decontam, langid, near, pu, quality_rules, sharding_query, suffix, toxicity
 
 QUERIES = {
+    "op1_near_duplicates": near.op1_near_duplicates,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_pu_quality": pu.op3_pu_quality,
     "op4_chat_format": chat_query.op4_chat_format,
     "op5_suffix_dedup": suffix.op5_suffix_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op7_decontamination": decontam.op7_decontamination,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_shards": sharding_query.op9_shards,
     "op10_language_id": langid.op10_language_id,
