@@ -26,7 +26,7 @@ from . import linear
 from .tables import bounded_sample, documents, fold, read
 from .textvec import BYTE_BASE, U, pieces, powers, prefix, raw
 
-GRAMS, BITS, FEATURES, FIT_ROWS = (3, 4, 5), 18, 20000, 20000
+GRAMS, BITS, FEATURES, FIT_ROWS = (3, 4, 5), 18, 4000, 12000
 BUCKETS = 1 << BITS
 FIT_TASKS = 24
 
