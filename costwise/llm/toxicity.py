@@ -3,7 +3,7 @@
 Features are the distinct character n-grams (n = 3, 4, 5; ASCII lower-cased) of a whole text,
 hashed to ``BUCKETS``. From labelled texts the document counts of each bucket by class give the
 smoothed log-count ratio r; a logistic regression is fitted on indicators scaled by r, over
-the ``FEATURES`` buckets with the strongest class dependence (chi-square).
+the ``FEATURES`` buckets with the strongest class dependence (chi-square of at least ``STRONG``).
 
 The model is fitted on a bounded sample: at most about ``FIT_ROWS`` labelled rows chosen by a hash of
 the id. Every text is scored.
@@ -26,7 +26,7 @@ from . import linear
 from .tables import bounded_sample, documents, fold, read
 from .textvec import BYTE_BASE, U, pieces, powers, prefix, raw
 
-GRAMS, BITS, FEATURES, FIT_ROWS = (3, 4, 5), 18, 4000, 12000
+GRAMS, BITS, FEATURES, FIT_ROWS, STRONG = (3, 4, 5), 18, 4000, 12000, 15.0
 BUCKETS = 1 << BITS
 FIT_TASKS = 24
 
@@ -91,7 +91,7 @@ def select(neg, pos, n_neg: int, n_pos: int) -> tuple[np.ndarray, np.ndarray]:
     chi = (pos - have * p) ** 2 / np.maximum(have * p * (1 - p) * np.maximum(1 - have / n, 1 / n), 1e-9)
     chi[have < 2] = 0
     order = np.lexsort((np.arange(BUCKETS), -chi))[:FEATURES]
-    chosen = np.sort(order[chi[order] > 3.84])
+    chosen = np.sort(order[chi[order] > STRONG])
     ratio = np.log(((pos + 1) / (pos.sum() + BUCKETS)) / ((neg + 1) / (neg.sum() + BUCKETS)))
     return chosen, ratio[chosen]
 
