@@ -158,8 +158,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
              .select("_k", "_h", F.col("s").alias("start"), (F.col("s") + length).alias("end")))
     whole = (kept.join(classes.filter("m > 1").select("g", "w"), ["g", "w"])
              .select("_k", "_h", start.alias("start"), (start + span + length).alias("end")))
-    return (found.unionByName(whole).groupBy("_k", "_h")
-            .agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    return materialize(found.unionByName(whole).groupBy("_k", "_h")
+                       .agg(F.collect_list(F.struct("start", "end")).alias("spans")), "suffix-ranges")
 
 
 def merged(spans) -> list[tuple[int, int]]:
