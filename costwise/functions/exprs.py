@@ -105,9 +105,11 @@ def text_op_after(op, counted, numeric: bool = False) -> Column:
 
 
 def change_key_part(primary_key, n: int) -> Column:
-    """The n-th (1-based) bracketed value of a change-log primary-key text, or null.
+    """The n-th (1-based) non-empty bracketed value of a change-log primary-key text, or null.
+
+    Empty brackets do not count, as in the source.
 
     ``'Field1=CONST(A),Field2=CONST(10000)'`` -> part 2 is ``'10000'``.
     """
-    parts = F.regexp_extract_all(_c(primary_key), F.lit(r"\(([^)]*)\)"), 1)
+    parts = F.regexp_extract_all(_c(primary_key), F.lit(r"\(([^)]+)\)"), 1)
     return F.try_element_at(parts, F.lit(n))

@@ -65,7 +65,7 @@ def pick_version(requests: DataFrame, candidates: DataFrame, as_of, *, key: str
 
     Among candidates with ``start_date <= as_of``: a candidate in the requested
     location ranks 2, else its priority (fallback 1, other 0); then latest start,
-    latest modified, highest row-version (nulls last), then version code so the
+    latest modified, highest row-version (null first, as in the source), then version code so the
     pick is total. Returns (key, location, version, version_location).
     """
     req = requests.select(F.col(key).alias("_rk"), F.col(location).alias("_rl")).distinct()
@@ -74,7 +74,7 @@ def pick_version(requests: DataFrame, candidates: DataFrame, as_of, *, key: str
     rank = F.when(F.col("location") == F.col("_rl"), F.lit(2)).otherwise(F.col("priority"))
     picked = latest_row(joined, ["_rk", "_rl"], [
         rank.desc(), F.col("start_date").desc_nulls_last(), F.col("modified").desc_nulls_last(),
-        F.col("rowversion").desc_nulls_last(), F.col("version").asc_nulls_first()])
+        F.col("rowversion").desc_nulls_first(), F.col("version").asc_nulls_first()])
     return picked.select(F.col("_rk").alias(key), F.col("_rl").alias(location),
                          F.col("version"), F.col("location").alias("version_location"))
 

@@ -29,6 +29,13 @@ def upsert_newer(target: DataFrame, staging: DataFrame, keys: Sequence[str], ts:
     return j.select(*[F.when(take_s, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c) for c in cols])
 
 
+def _exists(spark, path: str) -> bool:
+    """Whether the path exists in its own file system (any other trouble raises)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def snapshot(tables: dict[str, DataFrame], bom_date, path: str) -> None:
     """Archive each table under ``{path}/{name}`` partitioned by ``bom_date``.
 
@@ -41,10 +48,9 @@ def snapshot(tables: dict[str, DataFrame], bom_date, path: str) -> None:
     d = F.lit(str(bom_date)).cast("date")
     for name in tables:
         target = f"{path}/{name}"
-        try:
-            existing = spark.read.parquet(target)
-        except Exception:  # noqa: BLE001  (no archive yet)
+        if not _exists(spark, target):
             continue
+        existing = spark.read.parquet(target)
         if existing.filter(F.col("bom_date") == d).limit(1).count():
             raise ValueError(f"{name} already archived for {bom_date}")
     for name, df in tables.items():

@@ -11,7 +11,7 @@ PERIOD = ("1997-01-01", "1997-12-31")
 
 
 def _inputs(t):
-    diff = t.part.filter(F.col("p_size") % 10 == 0).select(
+    diff = t.part.select(
         F.col("p_partkey").alias("reper"), F.lit("UN").alias("umas"),
         (F.col("p_retailprice").cast("decimal(18,2)") * F.lit(0.01).cast("decimal(18,2)")).cast("decimal(10,5)").alias("diff"),
         F.concat(F.lit("A"), F.col("p_brand")).alias("alocat"))
@@ -40,7 +40,7 @@ def _sql(capped: bool) -> str:
     return f"""WITH
 diff AS (SELECT p_partkey AS reper, 'UN' AS umas,
   CAST(CAST(p_retailprice AS DECIMAL(18,2)) * CAST(0.01 AS DECIMAL(18,2)) AS DECIMAL(10,5)) AS diff,
-  'A' || p_brand AS alocat FROM part WHERE p_size % 10 = 0),
+  'A' || p_brand AS alocat FROM part),
 vals AS (
   SELECT l_orderkey AS order_no, l_linenumber AS line_no, l_partkey AS item_no, 'UN' AS uom, d.diff, d.alocat,
     CASE WHEN o_orderstatus = 'O' THEN 3 WHEN o_orderstatus = 'F' THEN 4 ELSE 2 END AS status,

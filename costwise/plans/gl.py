@@ -14,7 +14,7 @@ DEC = "DECIMAL(18,2)"
 GL_SQL = f"""WITH
 gl AS (
   SELECT CAST(o_orderdate AS DATE) AS posting_date, l_orderkey AS transaction_no,
-    l_orderkey * 100 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity,
+    l_orderkey * 1000000000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity,
       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS entry_no,
     CASE WHEN ds THEN '6' ELSE '7' END || CAST(l_suppkey % 5 AS VARCHAR) AS account,
     CAST(l_linenumber % 3 AS INTEGER) AS source_type,

@@ -21,7 +21,7 @@ bom_vers AS (
   FROM orders),
 bom_line AS (
   SELECT o_custkey AS bom_no, CASE WHEN l_linestatus = 'F' THEN '' ELSE 'V' || CAST(o_orderkey AS VARCHAR) END AS version_code,
-         l_shipdate AS starting_date, l_orderkey * 100 + l_linenumber AS ts
+         l_shipdate AS starting_date, l_orderkey * 1000000000 + l_linenumber AS ts
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 bom_header AS (
   SELECT c_custkey AS no_, c_nationkey % 3 AS status, CAST('2000-01-01' AS TIMESTAMP) + to_days(c_nationkey) AS last_modified
@@ -52,7 +52,7 @@ def bom_sources(t):
         F.when(F.col("l_linestatus") == "F", F.lit("")).otherwise(
             F.concat(F.lit("V"), F.col("o_orderkey").cast("string"))).alias("version_code"),
         F.col("l_shipdate").alias("starting_date"),
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("ts"))
+        (F.col("l_orderkey") * 1000000000 + F.col("l_linenumber")).alias("ts"))
     header = c.select(F.col("c_custkey").alias("no_"), (F.col("c_nationkey") % 3).alias("status"),
                       (F.lit("2000-01-01").cast("timestamp_ntz") + F.make_interval(
                           days=F.col("c_nationkey"))).alias("last_modified"))

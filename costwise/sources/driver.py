@@ -81,11 +81,17 @@ LINE_ORDER = ("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extende
               "l_returnflag", "l_linestatus", "l_shipdate")
 
 
+#: Room for the entries of one transaction; a larger one is an error, never a wrong number.
+ENTRY_STEP = 1_000_000_000
+
+
 def entry_numbered(df: DataFrame, txn: str = "l_orderkey") -> DataFrame:
     """Entry number inside a transaction: row_number over the line's unique key
     (a window partitioned by the transaction, never a global one)."""
     w = Window.partitionBy(txn).orderBy(*LINE_ORDER)
-    return df.withColumn("entry_no", F.col(txn) * 100 + F.row_number().over(w))
+    n = F.row_number().over(w)
+    n = F.when(n < ENTRY_STEP, n).otherwise(F.raise_error(F.lit("transaction with too many entries")).cast("int"))
+    return df.withColumn("entry_no", F.col(txn) * ENTRY_STEP + n)
 
 
 def gl_entries(t: Tables) -> DataFrame:
@@ -186,8 +192,8 @@ def order_components(t: Tables) -> DataFrame:
 
 
 def stock_differences(t: Tables) -> DataFrame:
-    """Counted stock differences (caller-supplied in the source): one per part with size % 4 = 0."""
-    return t.part.filter(F.col("p_size") % 4 == 0).select(
+    """Counted stock differences (caller-supplied in the source): one per part."""
+    return t.part.select(
         F.concat(F.lit("L"), (F.col("p_partkey") % 4).cast("string")).alias("locatie"),
         F.col("p_partkey").alias("reper"),
         F.when(F.col("p_partkey") % 2 == 0, F.lit("BOX")).otherwise(F.lit("UN")).alias("umas"),

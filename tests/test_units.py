@@ -100,7 +100,10 @@ def test_closure_quantities_and_cycle(spark):
     cyc = spark.createDataFrame([("B1", "X", "B2", 1), ("B2", "Y", "B1", 1)],
                                 "bom_no string, item_no string, child_bom string, quantity_per int")
     with pytest.raises(CycleError):
-        closure(seeds, cyc, max_depth=6)
+        closure(seeds, cyc)
+    deep = spark.createDataFrame([(f"B{i}", f"X{i}", f"B{i + 1}", 1) for i in range(1, 71)],
+                                 "bom_no string, item_no string, child_bom string, quantity_per int")
+    assert closure(seeds, deep).agg(F.max("level")).first()[0] == 70
 
 
 def test_uom_rate_and_duplicate_keys(spark):
