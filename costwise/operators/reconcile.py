@@ -20,12 +20,15 @@ first entry) is dropped when all but one entry were paired; even n never stops e
 
 from __future__ import annotations
 
+import calendar
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .upsert import replace_partitions
 
 # Reconciliation types written to the output.
 TIP_PAIR = "1D - 1C"
@@ -52,35 +55,32 @@ def _fold_expr() -> str:
       acc -> acc.pairs)"""
 
 
-def match_pairs(rows: DataFrame, keys: Sequence[str], cap: bool, prepartitioned: bool = False) -> DataFrame:
+def match_pairs(rows: DataFrame, keys: Sequence[str], cap: bool) -> DataFrame:
     """Pairs (keys..., e1, e2) with e1 < e2 by the matching rule.
 
     rows: keys, entry_no (unique in a group), account, debit, credit (decimal(18,2)).
-    The rows are hash-partitioned by ``keys`` once; every later window, aggregate and
-    join is keyed by a superset of ``keys`` and reuses that partitioning (one shuffle).
+    No step gathers a whole group: which groups hold a two-sided entry, and which amounts an
+    account on both sides, are grouped flags (combined before the shuffle) joined back, and
+    the ranks are taken per (group, amount, side).
     """
     keys = list(keys)
     r = rows.select(*keys, "entry_no", "account", "debit", "credit")
-    if not prepartitioned:
-        r = r.repartition(*keys)
-    w_tx = Window.partitionBy(*keys)
-    r = r.withColumn("_two", F.max(((F.col("debit") != 0) & (F.col("credit") != 0)).cast("int")).over(w_tx))
-    one = (r.filter(F.col("_two") == 0)
+    two = r.filter((F.col("debit") != 0) & (F.col("credit") != 0)).select(*keys).distinct()
+    one = (r.join(two, keys, "left_anti")
            .withColumn("_amt", F.when(F.col("debit") != 0, F.col("debit")).otherwise(F.col("credit")))
            .withColumn("_d", (F.col("debit") != 0).cast("int")))
     sub = keys + ["_amt"]
-    w_acct = Window.partitionBy(*sub, "account")
-    one = one.withColumn("_both", F.max("_d").over(w_acct) - F.min("_d").over(w_acct))
-    one = one.withColumn("_ns", F.max("_both").over(Window.partitionBy(*sub)))
-    fast = one.filter(F.col("_ns") == 0)
+    shared = (one.groupBy(*sub, "account").agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
+              .filter("_lo <> _hi").select(*sub).distinct())
+    fast = one.join(shared, sub, "left_anti")
     fast = fast.withColumn("_k", F.row_number().over(Window.partitionBy(*sub, "_d").orderBy("entry_no")))
     d = fast.filter(F.col("_d") == 1).select(*sub, "_k", F.col("entry_no").alias("_de"))
     c = fast.filter(F.col("_d") == 0).select(*sub, "_k", F.col("entry_no").alias("_ce"))
     fast_pairs = d.join(c, sub + ["_k"]).select(*keys, F.least("_de", "_ce").alias("e1"),
                                                 F.greatest("_de", "_ce").alias("e2"))
     fold = F.expr(_fold_expr())
-    exact_sub = one.filter(F.col("_ns") == 1)
-    exact_tx = r.filter(F.col("_two") == 1)
+    exact_sub = one.join(shared, sub, "left_semi")
+    exact_tx = r.join(two, keys, "left_semi")
     p1 = exact_sub.groupBy(*sub).agg(fold.alias("_p")).select(*keys, F.explode("_p").alias("_x"))
     p2 = exact_tx.groupBy(*keys).agg(fold.alias("_p")).select(*keys, F.explode("_p").alias("_x"))
     exact_pairs = p1.unionByName(p2).select(*keys, F.col("_x.e1").alias("e1"), F.col("_x.e2").alias("e2"))
@@ -180,15 +180,14 @@ def reconcile(entries: DataFrame, relations: DataFrame, parts: Sequence[str] = (
     keys = ["posting_date", "transaction_no"]
     scope = entries.filter((F.col("debit") != 0) | (F.col("credit") != 0))
     links = materialize(link_keys(scope, relations), "gl-links")
-    s = materialize(scope.join(links, "entry_no", "left"), "gl-scope").repartition(*keys)
-    s = s.withColumn("_item_tx", F.max(F.col("item_link").isNotNull().cast("int")).over(Window.partitionBy(*keys)))
-    nonitem = s.filter(F.col("_item_tx") == 0).drop("_item_tx")
-    item = s.filter(F.col("_item_tx") == 1).drop("_item_tx")
+    s = materialize(scope.join(links, "entry_no", "left"), "gl-scope")
+    item_tx = s.filter(F.col("item_link").isNotNull()).select(*keys).distinct()
+    nonitem, item = s.join(item_tx, keys, "left_anti"), s.join(item_tx, keys, "left_semi")
 
     empty = _raw_rows(s.filter(F.lit(False)), TIP_NONITEM_ERROR)
     nonitem_rows, item_rows, rest1 = empty, empty, None
     if "nonitem" in parts:
-        pairs = materialize(match_pairs(nonitem, keys, cap=True, prepartitioned=True), "gl-pairs")
+        pairs = materialize(match_pairs(nonitem, keys, cap=True), "gl-pairs")
         paired = _pair_rows(pairs, nonitem, keys, TIP_PAIR)
         used = pairs.select(*keys, F.col("e1").alias("entry_no")).unionByName(
             pairs.select(*keys, F.col("e2").alias("entry_no")))
@@ -223,3 +222,37 @@ def reconcile(entries: DataFrame, relations: DataFrame, parts: Sequence[str] = (
                           .select(F.lit("entries without link").alias("gate"), *keys, "debit", "credit"))
              .unionByName(unbalanced(result.filter(~F.col("tip").isin(nonitem_tips)), "item result unbalanced")))
     return {"result": result, "gates": gates, "links": links}
+
+
+class UnbalancedError(ValueError):
+    """A balance gate is violated."""
+
+
+def month_range(year: int, month: int, start_day: int = 1, end_day: int | None = None) -> tuple[dt.date, dt.date]:
+    """First and last day to reconcile; anything outside the month, or a start after the end, is an error."""
+    if not (1 <= month <= 12) or year < 1:
+        raise ValueError(f"no such month: {year}-{month}")
+    last = calendar.monthrange(year, month)[1]
+    end_day = last if end_day is None else end_day
+    if start_day < 1 or end_day > last or start_day > end_day:
+        raise ValueError(f"bad days {start_day}..{end_day} for {year}-{month:02d}")
+    return dt.date(year, month, start_day), dt.date(year, month, end_day)
+
+
+def reconcile_month(entries: DataFrame, relations: DataFrame, year: int, month: int, start_day: int = 1,
+                    end_day: int | None = None, path: str | None = None, strict: bool = True) -> DataFrame:
+    """Reconcile the days of one month as one job (no day loop).
+
+    ``strict``: a violated balance gate raises ``UnbalancedError`` and nothing is written, as in the
+    source. ``path``: the days' partitions there are replaced by the result.
+    """
+    first, last = month_range(year, month, start_day, end_day)
+    days = entries.filter(F.col("posting_date").between(F.lit(first), F.lit(last)))
+    out = reconcile(days, relations, ("gates",) if strict else ("nonitem", "item"))
+    if strict:
+        bad = out["gates"].limit(5).collect()
+        if bad:
+            raise UnbalancedError("; ".join(f"{r['gate']}: {r['posting_date']} {r['transaction_no']}" for r in bad))
+    if path:
+        replace_partitions(out["result"], path, "posting_date")
+    return out["result"]

@@ -50,8 +50,7 @@ LEFT JOIN supplier v ON a.source_type = 2 AND a.source_no = CAST(v.s_suppkey AS
 WHERE left(a.account, 1) IN ('3', '6', '7') AND a.posting_date BETWEEN DATE '{FISCAL[0]}' AND DATE '{FISCAL[1]}'""")
 def gl_fiscal(t):
     """G/L entries of one fiscal year for account classes 3, 6 and 7 with source names."""
-    gl = D.gl_entries(t).filter(F.substring("account", 1, 1).isin(list(CLASSES))
-                                & F.col("posting_date").between(*FISCAL))
+    gl = D.gl_entries(t, FISCAL).filter(F.substring("account", 1, 1).isin(list(CLASSES)))
     j = _names(t, gl)
     return j.select(F.substring("account", 1, 1).alias("class"), "entry_no", "posting_date",
                     F.concat(F.lit("D"), F.col("transaction_no").cast("string")).alias("document_no"), "account",
@@ -114,8 +113,7 @@ def unlinked_values(t):
     gl = D.gl_entries(t)
     rel = D.gl_item_relations(gl)
     ve = value_entries(t).filter(F.col("posting_date").between(*VALUE_PERIOD))
-    linked = (gl.filter(F.col("posting_date").between(*VALUE_PERIOD)).select(F.col("entry_no").alias("gl_entry_no"))
-              .join(rel, "gl_entry_no").select(F.col("value_entry_no").alias("entry_no")))
+    linked = D.gl_item_relations(D.gl_entries(t, VALUE_PERIOD)).select(F.col("value_entry_no").alias("entry_no"))
     nol = ve.join(linked, "entry_no", "left_anti")
     g = gl.select(F.col("entry_no").alias("gl_entry_no"), F.col("posting_date").alias("gl_posting_date"))
     j = (nol.join(rel.withColumnRenamed("value_entry_no", "entry_no"), "entry_no", "left")

@@ -94,15 +94,19 @@ def entry_numbered(df: DataFrame, txn: str = "l_orderkey") -> DataFrame:
     return df.withColumn("entry_no", F.col(txn) * ENTRY_STEP + n)
 
 
-def gl_entries(t: Tables) -> DataFrame:
+def gl_entries(t: Tables, period: tuple[str, str] | None = None) -> DataFrame:
     """G/L entries: one per line item. Transaction = order, posting day = order date.
 
     Debit side: returned lines and open normal lines, account 6x; the others credit,
     account 7x (x = supplier mod 5). Lines without discount carry no amount (dropped
     by the reconciliation scope). Source type cycles 0/1/2 (none/customer/vendor).
+    ``period`` filters the orders by day before the entries are numbered (numbers are per
+    transaction, so they do not change) and reaches the scan.
     """
-    l = t.lineitem.join(t.orders.select("o_orderkey", "o_orderdate", "o_custkey"),
-                        F.col("l_orderkey") == F.col("o_orderkey"))
+    o = t.orders.select("o_orderkey", "o_orderdate", "o_custkey")
+    if period:
+        o = o.filter(F.col("o_orderdate").cast("date").between(*[F.lit(x).cast("date") for x in period]))
+    l = t.lineitem.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     l = entry_numbered(l)
     ds = (F.col("l_returnflag") == "R") | ((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))
     amt = F.col("l_quantity").cast("decimal(18,2)")

@@ -131,3 +131,29 @@ def test_ageing_rounds(spark):
     # item 1: -3 and -1 move back (2021-03 to 2021-02, 2021-02 to 2021-01), then the merged -1 moves back again
     # item 2: first bucket moves forward; item 3 has a non-positive total and is dropped
     assert got == [(1, "2021-01-01", 1.0), (1, "2021-04-01", 4.0), (2, "2021-02-01", 1.0)]
+
+
+def test_reconcile_month_gates_and_partitions(spark, tmp_path):
+    import datetime as dt
+
+    from costwise.operators.reconcile import UnbalancedError, month_range, reconcile_month
+    assert month_range(2024, 2) == (dt.date(2024, 2, 1), dt.date(2024, 2, 29))
+    for bad in ((2024, 13, 1, None), (2024, 2, 0, 5), (2024, 2, 5, 4), (2023, 2, 1, 29)):
+        with pytest.raises(ValueError):
+            month_range(*bad)
+    day = dt.date(2024, 1, 2)
+    # 150 entries in one transaction: 75 debits on shared accounts against 75 credits of the same amounts
+    rows = [(day, 7, i, f"6{i % 3}", 0, "", float(i % 5 + 1) if i < 75 else 0.0, 0.0 if i < 75 else float(i % 5 + 1))
+            for i in range(150)]
+    schema = ("posting_date date, transaction_no long, entry_no long, account string, source_type int, source_no string, "
+              "debit double, credit double")
+    df = spark.createDataFrame(rows, schema).withColumn("debit", F.col("debit").cast("decimal(18,2)")).withColumn(
+        "credit", F.col("credit").cast("decimal(18,2)"))
+    none = spark.createDataFrame([], "gl_entry_no long, value_entry_no long")
+    path = f"{tmp_path}/out"
+    out = reconcile_month(df, none, 2024, 1, path=path)
+    assert out.agg(F.sum("debit") - F.sum("credit")).first()[0] == 0
+    assert spark.read.parquet(path).count() == out.count() > 0
+    assert {r["entry_no"] for r in out.select("entry_no").collect()} == set(range(150))
+    with pytest.raises(UnbalancedError):
+        reconcile_month(df.filter("entry_no <> 3"), none, 2024, 1)
