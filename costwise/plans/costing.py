@@ -14,7 +14,7 @@ SINCE = "1996-01-01"
 HOURLY_RATE, OVERHEAD = "9.33", "4.95"
 ENTRY_TYPE_NAMES = {0: "Purchase", 1: "Sale", 2: "Positive Adjmt.", 3: "Negative Adjmt.", 4: "Transfer",
                     5: "Consumption", 6: "Output", 9: "Assembly Output"}
-_ETN = "CASE " + " ".join(f"WHEN a.entry_type = {k} THEN '{v}'" for k, v in ENTRY_TYPE_NAMES.items()) + " END"
+_ETN = "CASE " + " ".join(f"WHEN kind = {k} THEN '{v}'" for k, v in ENTRY_TYPE_NAMES.items()) + " END"
 
 
 def _per(a, b):
@@ -29,49 +29,44 @@ def _per_sql(a, b):
 
 
 ACTUAL_SQL = f"""
-il AS (
-  SELECT l_orderkey AS order_no, l_linenumber AS order_line_no, l_partkey AS item_no, CAST(l_shipdate AS DATE) AS posting_date,
-    CASE WHEN l_returnflag = 'R' THEN 1 WHEN l_returnflag = 'A' THEN 5 WHEN l_linestatus = 'O' THEN 0 ELSE 6 END AS entry_type,
-    CASE WHEN l_returnflag IN ('R', 'A') THEN -CAST(l_quantity AS DECIMAL(18,2)) ELSE CAST(l_quantity AS DECIMAL(18,2)) END AS quantity,
-    CASE WHEN l_returnflag IN ('R', 'A') THEN -CAST(l_extendedprice AS DECIMAL(18,2)) ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS cost_amount
+led AS (
+  SELECT l_orderkey AS ord, l_linenumber AS ln, l_partkey AS item, CAST(l_shipdate AS DATE) AS day,
+    CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 5 ELSE if(l_linestatus = 'O', 0, 6) END AS kind,
+    if(l_returnflag IN ('R', 'A'), -1, 1) AS sgn, CAST(l_quantity AS DECIMAL(18,2)) AS qty,
+    CAST(l_extendedprice AS DECIMAL(18,2)) AS val, 'WC' || CAST(l_suppkey % 4 AS VARCHAR) AS wc,
+    'M' || CAST(l_suppkey % 10 AS VARCHAR) AS machine, CAST(CAST(l_discount AS DECIMAL(18,2)) * 10 AS DECIMAL(18,2)) AS hours
   FROM lineitem),
-pfs AS (
-  SELECT DISTINCT a.order_no, a.item_no, b.p_name AS item_name, b.p_brand AS range,
-    'L' || CAST(o.o_custkey % 4 AS VARCHAR) AS location_code
-  FROM il a JOIN part b ON a.item_no = b.p_partkey JOIN orders o ON a.order_no = o.o_orderkey
-  WHERE b.p_type IN ('ECONOMY', 'STANDARD') AND a.entry_type = 6 AND o.o_orderstatus = 'F'
-    AND a.posting_date >= DATE '{SINCE}'),
-ords AS (
-  SELECT b.order_no, b.item_no AS source_no, b.item_name AS source_name, b.range, b.location_code,
-    round(sum(a.quantity), 0) AS output, max(a.posting_date) AS last_output
-  FROM il a JOIN pfs b ON a.order_no = b.order_no AND a.item_no = b.item_no
-  WHERE a.order_line_no = 1 AND a.entry_type = 6 GROUP BY ALL),
-consumption AS (
-  SELECT a.order_no, b.source_no, b.source_name, b.range, b.output, b.last_output, b.location_code, a.item_no,
-    d.p_name AS item_name, d.p_type AS posting_group, {_ETN} AS entry_type,
-    round(-1 * sum(a.quantity), 2) AS quantity, 'UN' AS uom, round(sum(-1 * a.cost_amount), 2) AS cost
-  FROM il a JOIN ords b ON a.order_no = b.order_no LEFT JOIN part d ON d.p_partkey = a.item_no
-  WHERE a.item_no != b.source_no GROUP BY ALL),
-ore AS (
-  SELECT b.order_no, b.source_no, b.source_name, b.range, b.output, b.last_output, b.location_code,
-    'WC' || CAST(l_suppkey % 4 AS VARCHAR) AS work_center, 'M' || CAST(l_suppkey % 10 AS VARCHAR) AS machine_no,
-    round(sum(CAST(CAST(l_discount AS DECIMAL(18,2)) * 10 AS DECIMAL(18,2))), 2) AS work_hours
-  FROM lineitem a JOIN ords b ON b.order_no = a.l_orderkey GROUP BY ALL),
-actual AS (
-  SELECT 'ACTUAL' AS data_version, 'Finished' AS status, CAST(order_no AS VARCHAR) AS order_no, source_no, source_name,
-    range, CAST(output AS DOUBLE) AS output, last_output, location_code, 'MAT_CONSUMPTION' AS value_type,
-    CAST(NULL AS VARCHAR) AS work_center, CAST(item_no AS VARCHAR) AS item_no, item_name, posting_group, entry_type,
-    CAST(quantity AS DOUBLE) AS quantity, uom, CAST(cost AS DOUBLE) AS cost,
-    CAST({_per_sql('quantity', 'output')} AS DOUBLE) AS quantity_per, CAST({_per_sql('cost', 'output')} AS DOUBLE) AS cost_per
-  FROM consumption WHERE quantity != 0
+outputs AS (
+  SELECT ord, item, max(day) >= DATE '{SINCE}' AS recent, count(*) FILTER (WHERE ln = 1) AS first_lines,
+    round(sum(sgn * qty) FILTER (WHERE ln = 1), 0) AS output, max(day) FILTER (WHERE ln = 1) AS last_output
+  FROM led WHERE kind = 6 GROUP BY ord, item),
+packages AS (
+  SELECT outputs.*, p_name AS source_name, p_brand AS range, 'L' || CAST(o_custkey % 4 AS VARCHAR) AS location_code
+  FROM outputs JOIN part ON p_partkey = item JOIN orders ON o_orderkey = ord
+  WHERE recent AND o_orderstatus = 'F' AND p_type IN ('ECONOMY', 'STANDARD')),
+made AS (SELECT * RENAME (item AS source_no) FROM packages WHERE first_lines > 0),
+used AS (
+  SELECT made.*, led.item, kind, round(-sum(sgn * qty), 2) AS q, round(-sum(sgn * val), 2) AS c
+  FROM made JOIN led USING (ord) WHERE led.item <> source_no GROUP BY ALL HAVING round(-sum(sgn * qty), 2) <> 0),
+worked AS (
+  SELECT made.*, wc, machine, round(sum(hours), 2) AS h,
+    round(round(sum(hours), 2) * CAST({HOURLY_RATE} AS DECIMAL(4,2)) * CAST({OVERHEAD} AS DECIMAL(4,2)), 2) AS c
+  FROM made JOIN led USING (ord) GROUP BY ALL HAVING round(sum(hours), 2) <> 0),
+lines AS (
+  SELECT ord, source_no, source_name, range, output, last_output, location_code, 'MAT_CONSUMPTION' AS value_type,
+    CAST(NULL AS VARCHAR) AS work_center, CAST(item AS VARCHAR) AS item_no, p_name AS item_name, p_type AS posting_group, {_ETN} AS entry_type,
+    q, 'UN' AS uom, c
+  FROM used LEFT JOIN part ON p_partkey = item
   UNION ALL
-  SELECT 'ACTUAL', 'Finished', CAST(order_no AS VARCHAR), source_no, source_name, range, CAST(output AS DOUBLE), last_output,
-    location_code, 'WORK_HOURS', work_center, machine_no, 'machine ' || machine_no, NULL, NULL,
-    CAST(work_hours AS DOUBLE), 'H',
-    CAST(round(work_hours * CAST({HOURLY_RATE} AS DECIMAL(4,2)) * CAST({OVERHEAD} AS DECIMAL(4,2)), 2) AS DOUBLE),
-    CAST({_per_sql('work_hours', 'output')} AS DOUBLE),
-    CAST({_per_sql(f'round(work_hours * CAST({HOURLY_RATE} AS DECIMAL(4,2)) * CAST({OVERHEAD} AS DECIMAL(4,2)), 2)', 'output')} AS DOUBLE)
-  FROM ore WHERE work_hours != 0)"""
+  SELECT ord, source_no, source_name, range, output, last_output, location_code, 'WORK_HOURS', wc, machine,
+    'machine ' || machine, NULL, NULL, h, 'H', c
+  FROM worked),
+actual AS (
+  SELECT 'ACTUAL' AS data_version, 'Finished' AS status, CAST(ord AS VARCHAR) AS order_no, source_no, source_name, range,
+    CAST(output AS DOUBLE) AS output, last_output, location_code, value_type, CAST(work_center AS VARCHAR) AS work_center,
+    item_no, item_name, posting_group, entry_type, CAST(q AS DOUBLE) AS quantity, uom, CAST(c AS DOUBLE) AS cost,
+    CAST({_per_sql('q', 'output')} AS DOUBLE) AS quantity_per, CAST({_per_sql('c', 'output')} AS DOUBLE) AS cost_per
+  FROM lines)"""
 
 OUT = ["data_version", "status", "order_no", "source_no", "source_name", "range", "output", "last_output",
        "location_code", "value_type", "work_center", "item_no", "item_name", "posting_group", "entry_type",
@@ -146,7 +141,7 @@ def real_cost(t):
 
 
 @register("cost_actual_vs_standard", BOM_WORLD_SQL + "," + ACTUAL_SQL + f""",
-pf_items AS (SELECT DISTINCT CAST(item_no AS VARCHAR) AS item_no, range FROM pfs),
+pf_items AS (SELECT DISTINCT CAST(item AS VARCHAR) AS item_no, range FROM packages),
 bdd AS (
   SELECT 'BDD' AS data_version, CAST(NULL AS VARCHAR) AS status, 'BDD' AS order_no, CAST(a.root_item AS BIGINT) AS source_no,
     p.description AS source_name, p.family AS range, CAST(NULL AS DOUBLE) AS output, CAST(NULL AS DATE) AS last_output,
@@ -176,7 +171,7 @@ def cost_actual_vs_standard(t):
     """Actual consumption and hours of finished orders next to the BOM and routing standard of the package."""
     a, pfs = actual(t)
     pf_items = pfs.select(F.col("item_no").cast("string").alias("root_item"), "range").distinct()
-    comp, rl = _components(t)
+    comp, rl = _components(t, pf_items.select("root_item").distinct())
     leaf = null_leaf_costs(comp)
     names = leaf.filter(F.col("level") == 0).select("root_item", F.col("item_description").alias("source_name"),
                                                     F.col("factory").alias("root_factory"))
