@@ -1,4 +1,4 @@
-"""Snapshot, partition replacement and the streaming unit-cost merge (temporary folders)."""
+"""Snapshot and partition replacement (temporary folders)."""
 
 import datetime as dt
 import tempfile
@@ -6,7 +6,6 @@ import tempfile
 import pytest
 
 from costwise.operators.upsert import replace_partitions, snapshot
-from costwise.streaming import unit_cost_load
 
 
 def test_snapshot_refuses_null_and_repeat(spark):
@@ -29,19 +28,3 @@ def test_replace_partitions_keeps_other_days(spark):
     replace_partitions(b, root, "d")
     got = sorted((str(r["d"]), r["v"]) for r in spark.read.parquet(root).collect())
     assert got == [("2022-01-01", 1), ("2022-01-02", 20)]
-
-
-def test_streaming_merge_newer_wins(spark):
-    base = tempfile.mkdtemp(prefix="costwise-stream-", dir="/tmp")
-    schema = "item_no string, cost double, mod_de timestamp"
-    s1 = spark.createDataFrame([("A", 1.0, dt.datetime(2022, 1, 1)), ("B", 2.0, dt.datetime(2022, 1, 1))], schema)
-    s1.write.parquet(f"{base}/staging/b1")
-    q = unit_cost_load.start(spark, f"{base}/staging/*", s1.schema, f"{base}/table", f"{base}/ckpt")
-    q.awaitTermination()
-    s2 = spark.createDataFrame([("A", 9.0, dt.datetime(2021, 1, 1)), ("B", 5.0, dt.datetime(2022, 1, 1)),
-                                ("C", 3.0, dt.datetime(2022, 1, 1))], schema)
-    s2.write.parquet(f"{base}/staging/b2")
-    q = unit_cost_load.start(spark, f"{base}/staging/*", s1.schema, f"{base}/table", f"{base}/ckpt")
-    q.awaitTermination()
-    got = sorted((r["item_no"], r["cost"]) for r in unit_cost_load.current_version(spark, f"{base}/table").collect())
-    assert got == [("A", 1.0), ("B", 5.0), ("C", 3.0)]
