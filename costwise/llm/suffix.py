@@ -154,8 +154,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             .agg(F.collect_list(F.struct(start.alias("lo"), (start + span).alias("hi"), "g", "m")).alias("open")))
     strings = materialize(_strings(docs.join(todo, ["_k", "_h"]), length), "suffix-strings")
     twice = strings.groupBy("g", "w").agg(F.sum("m").alias("all")).filter("all > 1").select("g", "w")
-    found = (strings.filter("m = 1").join(twice, ["g", "w"])
-             .select("_k", "_h", F.col("s").alias("start"), (F.col("s") + length).alias("end")))
+    found = materialize(strings.filter("m = 1").join(twice, ["g", "w"])
+                        .select("_k", "_h", F.col("s").alias("start"), (F.col("s") + length).alias("end")), "suffix-found")
     whole = (kept.join(classes.filter("m > 1").select("g", "w"), ["g", "w"])
              .select("_k", "_h", start.alias("start"), (start + span + length).alias("end")))
     return materialize(found.unionByName(whole).groupBy("_k", "_h")
