@@ -8,8 +8,11 @@ split large buckets. Equal texts are one node, carried by their least id.
 
 Candidates: in buckets of up to ``SMALL`` texts all pairs; larger buckets link every text to the
 bucket's leader (the text with the most copies, then the least id) and to a second one that a
-hash picks, at each length, and the texts meet again in the finer buckets, where the same rule holds. So no bucket gives more than
-SMALL candidates for a text, and nothing is dropped for its size.
+hash picks, at each length, and the texts meet again in the finer buckets, where the same rule holds. What the leaders leave open is
+compared in full: the texts of every large bucket of the shortest key that is still of several classes meet by a
+prefix-filtered k-mer join. In the order by frequency, rarest first, two texts at 0.8 share one of their first
+n - ceil(0.8 n) + 1 k-mers; pairs of one class, and pairs whose lengths rule 0.8 out, are left aside, as
+they change no class or cannot align. This step grows with the pairs of different classes that share rare k-mers.
 
 Verification: banded alignment of the two k-mer sequences. The longest common subsequence c
 inside the band gives c / (n + m - c), which must be at least 0.8; that value bounds the
@@ -18,7 +21,7 @@ on bit vectors, a row of the band at a time. Verified links are joined into clas
 propagation over written tables.
 
 Recall: a pair at similarity 0.8 shares a key of length 4 in one of 20 bands with probability
-1 - (1 - 0.8**4)**20 > 0.9999.
+1 - (1 - 0.8**4)**20 > 0.9999; a bucket of any size then compares the pair or has it in one class already.
 
 Edge cases: null texts are classes of their own; empty texts, and texts without words, are equal to
 themselves only; texts of fewer than five words have one k-mer of all words; repeated rows and null
@@ -30,7 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,10 +136,10 @@ def verify(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long, similarity double")
 
 
-def candidates(buckets: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of nodes from the buckets (node, rank, k4, k7, k11); ``rank`` orders the
-    leaders."""
-    out, parent = None, buckets
+def candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a < b) of nodes from the buckets (node, rank, k4, k7, k11), and the large buckets (k4, node)
+    of which only some pairs are among them; ``rank`` orders the leaders."""
+    out, large, parent = None, None, buckets
     for length in LENGTHS:
         key = f"k{length}"
         size = parent.groupBy(key).agg(F.count(F.lit(1)).alias("size"), F.min("rank").alias("lead"),
@@ -152,7 +155,50 @@ def candidates(buckets: DataFrame) -> DataFrame:
         both = pairs.unionByName(star)
         out = both if out is None else out.unionByName(both)
         parent = met.filter(F.col("size") > SMALL).select(*parent.columns)
-    return out.distinct()
+        large = parent.select("k4", "node") if large is None else large
+    return out.distinct(), large
+
+
+def spelled(texts: DataFrame) -> DataFrame:
+    """(node, label, n, kmer) of texts (node, label, _t): every k-mer, with the text's number of k-mers."""
+    def run(batches):
+        for whole in batches:
+            for b in pieces(whole, "_t"):
+                ids, off, _ = kmers(*raw(b.column("_t")))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("node"), b.column("label"), pa.array(np.diff(off).astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids.view(np.int64)))],
+                    names=["node", "label", "n", "kmers"])
+
+    wide = texts.select("node", "label", "_t").mapInArrow(run, "node long, label long, n long, kmers array<long>")
+    return wide.select("node", "label", "n", F.explode("kmers").alias("kmer"))
+
+
+def remainder(texts: DataFrame, large: DataFrame, label: DataFrame) -> DataFrame | None:
+    """Pairs (a < b) of different classes that can align, among the texts (node, _t) of the large buckets (k4,
+    node) that hold several classes (id, label); None if there is no such bucket."""
+    named = large.join(label.withColumnRenamed("id", "node"), "node", "left").select(
+        "k4", "node", F.coalesce("label", "node").alias("label"))
+    split = named.groupBy("k4").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("k4")
+    left = materialize(named.join(split, "k4", "left_semi").select("node", "label").distinct(), "near-open")
+    if not left.limit(1).count():
+        return None
+    grams = materialize(spelled(texts.join(left, "node")), "near-kmers")
+    df = grams.groupBy("kmer").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    own = Window.partitionBy("node")
+    # k-mers of one text only come first in the order and meet nothing, so they just count
+    first = materialize(grams.join(df, "kmer")
+                        .withColumn("at", F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "kmer")))
+                        .filter("at <= n - (4 * n + 4) div 5 + 1").select("kmer", "node", "label", "n"), "near-prefix")
+    # of two classes one is not the k-mer's largest: its texts look for the others
+    main = (first.groupBy("kmer", "label").agg(F.count(F.lit(1)).alias("m"))
+            .groupBy("kmer").agg(F.max(F.struct("m", "label")).alias("main"), F.count(F.lit(1)).alias("classes"))
+            .filter("classes > 1").select("kmer", F.col("main.label").alias("main")))
+    met = first.join(main, "kmer")
+    x = met.filter("label <> main").select("kmer", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"))
+    y = met.select("kmer", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"))
+    return (x.join(y, "kmer").filter("lx <> ly and 5 * least(nx, ny) >= 4 * greatest(nx, ny)")
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -176,9 +222,9 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def near_links(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(nodes, links): the distinct texts (node, h1, h2, least key, copies n) and the verified links
-    (a, b, similarity) between them."""
+def near_links(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(nodes, links, labels): the distinct texts (node, h1, h2, least key, copies n), verified links (a, b,
+    similarity) that join every class, and the class (id, label) of each linked node."""
     rows = df.filter(F.col(text).isNotNull()).select(
         F.col(key).alias("id"), F.col(text).alias("_t"), F.xxhash64(F.col(text)).alias("h1"),
         F.xxhash64(F.lit(1), F.col(text)).alias("h2"))
@@ -191,22 +237,46 @@ def near_links(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[
         return t.join(n, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
                       & F.col("id").eqNullSafe(F.col("least")))
 
-    bands = F.arrays_zip(*[F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i, j=j: F.get("keys", i * len(LENGTHS) + j))
-                           .alias(f"k{length}") for j, length in enumerate(LENGTHS)])
+    def of_length(j: int):
+        # one parameter: transform hands a second one the position
+        return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.get("keys", i * len(LENGTHS) + j))
+
+    bands = F.arrays_zip(*[of_length(j).alias(f"k{length}") for j, length in enumerate(LENGTHS)])
     buckets = (one_row(sketch(rows))
                .select("node", F.struct((-F.col("n")).alias("copies"), "least", "node").alias("rank"), F.explode(bands).alias("x"))
                .select("node", "rank", *[F.col("x").getField(f"k{length}").alias(f"k{length}") for length in LENGTHS]))
-    pairs = materialize(candidates(buckets.distinct()), "near-pairs")
+    found, large = candidates(buckets.distinct())
+    pairs = materialize(found, "near-pairs")
     texts = one_row(rows).select("node", "_t")
-    a = texts.select(F.col("node").alias("a"), F.col("_t").alias("ta"))
-    b = texts.select(F.col("node").alias("b"), F.col("_t").alias("tb"))
-    return nodes, verify(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb"))
+
+    def aligning(pairs: DataFrame) -> DataFrame:
+        a = texts.select(F.col("node").alias("a"), F.col("_t").alias("ta"))
+        b = texts.select(F.col("node").alias("b"), F.col("_t").alias("tb"))
+        return materialize(verify(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb")), "near-links")
+
+    links = aligning(pairs)
+    label = components(links)
+    rest = remainder(texts, large, label)
+    more = None if rest is None else aligning(materialize(rest, "near-rest"))
+    if more is None or not more.limit(1).count():
+        return nodes, links, label
+    # the new links join classes: the same propagation over the classes' labels
+    was = label.select("id", F.col("label").alias("of"))
+    ends = (more.join(was.withColumnRenamed("id", "a").withColumnRenamed("of", "la"), "a", "left")
+            .join(was.withColumnRenamed("id", "b").withColumnRenamed("of", "lb"), "b", "left")
+            .select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")))
+    joined = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
+    known = was.unionByName(ends.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("la").alias("of")),
+                                                          F.struct(F.col("b").alias("id"), F.col("lb").alias("of")))).alias("x"))
+                            .select("x.id", "x.of")).distinct()
+    label = known.join(joined.select(F.col("id").alias("of"), "label"), "of", "left").select(
+        "id", F.coalesce("label", "of").alias("label"))
+    return nodes, links.unionByName(more), materialize(label, "near-labels")
 
 
 def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with class_id: the least key of the row's class (its own key if the text is null)."""
-    nodes, links = near_links(df, key, text)
-    label = components(materialize(links, "near-links"))
+    nodes, _, label = near_links(df, key, text)
     named = nodes.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("least").alias("class_id"))
     classes = named.join(least, "label").select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "class_id")

@@ -3,11 +3,12 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from costwise.llm import bpe, chat, decontam, langid, near, pu, quality_rules, queries, sharding, suffix, tables, toxicity
+from costwise.llm import bpe, chat, decontam, langid, near, pu, quality_rules, queries, sharding, suffix, tables, textvec, toxicity
 from tools.oracle_check import duck, rows_of
 
 SMALL, SF = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -108,6 +109,22 @@ def test_large_bucket_uses_leaders(spark):
     assert {r.class_id for r in near.near_classes(df).collect()} == {0}
 
 
+def test_large_buckets_lose_no_pair(spark):
+    rng = random.Random(21)
+    word = lambda: f"w{rng.randrange(10 ** 9)}"
+    head, texts = [word() for _ in range(110)], []
+    for _ in range(150):  # one large bucket by the head; each pair is linked to nothing else and just above 0.8
+        body = [word() for _ in range(60)]
+        texts += [" ".join(head + body), " ".join(head + body[:42] + [word() for _ in range(18)])]
+    spark_df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tables.importable(spark)
+    ids, off, _ = near.kmers(*textvec.raw(pa.array(texts)))
+    seqs = [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])]
+    linked = {(i, j) for i in range(300) for j in range(i) if near.aligned(seqs[i], seqs[j]) >= 0.8}
+    assert linked == {(i + 1, i) for i in range(0, 300, 2)}
+    assert {r.doc_id: r.class_id for r in near.near_classes(spark_df).collect()} == {i: i - i % 2 for i in range(300)}
+
+
 # --- op2 -------------------------------------------------------------------------------------------------------------
 
 def test_rule_signals_and_certified_cutoffs(spark, odd):
