@@ -7,7 +7,8 @@ a full match; all items at ``THRESHOLD`` or more are retrieved. Postings are in
 largest impact for each block of items. A passage is skipped if for no group of blocks the
 largest impacts of its terms add up to the threshold; otherwise block-max WAND runs over the
 postings of its terms in the groups that are left. Neither step loses an item. A retrieved item counts if the
-passage holds at least ``OVERLAP`` of the three-word sequences of its question and of its answer.
+passage holds at least ``OVERLAP`` of the three-word sequences of its question and of its answer. Items of one
+text have no answer and are compared whole.
 
 The items are indexed in shards of ``SHARD_ITEMS``, each with its own statistics, and each shard is
 sent to the tasks whole (its size does not depend on the documents); all texts run against
@@ -219,12 +220,11 @@ def find_leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
 
 
 def split_items(items: DataFrame, text: str = "text") -> DataFrame:
-    """Question and answer of items that have one text: the last fifth of the words (three at least) is the answer."""
-    w = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda x: x != "")
-    n = F.greatest(F.size("_w") - F.greatest(F.lit(3), F.floor(F.size("_w") / F.lit(5)).cast("int")), F.lit(0))
-    return (items.withColumn("_w", w).withColumn("_n", n)
-            .withColumn("question", F.array_join(F.slice("_w", F.lit(1), F.col("_n")), " "))
-            .withColumn("answer", F.array_join(F.slice("_w", F.col("_n") + 1, F.size("_w")), " ")).drop("_w", "_n"))
+    """Question and answer of items: their own columns, or for items of one text the whole text as the question
+    and no answer (a made-up split would ask for a share of a few words)."""
+    if {"question", "answer"} <= set(items.columns):
+        return items
+    return items.withColumn("question", F.col(text)).withColumn("answer", F.lit(None).cast("string"))
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:

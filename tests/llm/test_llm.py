@@ -316,6 +316,25 @@ def test_planted_items_are_found(spark, odd):
     assert decontam.find_leaks(docs, blank).count() == 0
 
 
+def test_cut_and_edited_items_are_found(spark):
+    table = tables.read(spark, SF, "benchmark")
+    rng, fill, rows, want = random.Random(6), [f"filler{i}" for i in range(40)], [], set()
+    for r in table.collect():
+        w = r.text.split()
+        edits = [w[:-(-len(w) * 85 // 100)]]
+        for at in (rng.randrange(len(w)), len(w) - 1, len(w) - 2):
+            edits.append([*w[:at], "changed", *w[at + 1:]])
+        for e in edits:
+            want.add((len(rows), r.item_id))
+            rows.append((len(rows), " ".join(fill + e + fill)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, decontam.split_items(table)).collect()}
+    assert want <= got
+    pairs = spark.createDataFrame([(1, "a b c d e f g h", "i j k l")], "item_id long, question string, answer string")
+    half = spark.createDataFrame([(1, "a b c d e f g h x y z"), (2, "a b c d e f g h i j k l")], "doc_id long, text string")
+    assert {r.doc_id for r in decontam.find_leaks(half, decontam.split_items(pairs), threshold=0.1).collect()} == {2}
+
+
 # --- op9 -------------------------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("n", [1, 2, 5, 40, 1003])
