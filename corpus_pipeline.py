@@ -4,6 +4,9 @@ decontamination, token round trip. Each stage's result is written and reread as
 A stage gets (spark, docs, sf_dir) and returns the documents it keeps with the columns of ``documents``
 (doc_id, text, lang, source, n_chars); the last one returns tokens instead.
 
+Decisions are made for rows, not ids: a row is known by its id and two hashes of its text, so distinct texts
+under one id or under null ids stand and fall on their own.
+
 Edge cases hold as in the operators: null texts are kept by the classifier if their score is, are never duplicates and
 lose nothing; an empty table passes through all stages; extra columns are dropped.
 """
@@ -19,18 +22,28 @@ from costwise.llm.tables import documents, importable, materialize, read
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def named(docs: DataFrame) -> DataFrame:
+    """``docs`` with the hashes that tell rows of one id apart."""
+    return docs.select(*COLUMNS, F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), F.col("text")).alias("h2"))
+
+
+def matching(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` with (left_semi) or without (left_anti) their id and hashes in ``rows``."""
+    a, b = named(docs).alias("a"), rows.select("doc_id", "h1", "h2").distinct().alias("b")
+    same = (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2")) & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
+    return a.join(b, same, how).select(*COLUMNS)
+
+
 def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the positive-unlabelled classifier scores below one half go."""
     importable(spark)
-    good = pu.pu_quality(docs, read(spark, sf_dir, "labels")).filter("predicted = 1").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(good, docs["doc_id"].eqNullSafe(good["doc_id"]), "left_semi")
+    return matching(docs, pu.pu_quality(named(docs), read(spark, sf_dir, "labels"), ("h1", "h2")).filter("predicted = 1"), "left_semi")
 
 
 def near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays: the one with the least id."""
+    """One document of each class of near duplicates stays: the one with the least id. Null texts stay."""
     importable(spark)
-    classes = near.near_classes(docs.select(*COLUMNS))
-    return classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return near.one_of_class(docs.select(*COLUMNS))
 
 
 def substring_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +62,8 @@ def decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     importable(spark)
     items = decontam.split_items(read(spark, sf_dir, "benchmark")).select("item_id", "question", "answer")
-    leaks = decontam.find_leaks(docs.select("doc_id", "text"), items).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti")
+    leaks = decontam.find_leaks(named(docs).select(F.struct("doc_id", "h1", "h2").alias("row"), "text"), items, key="row")
+    return matching(docs, leaks.select("row.*"), "left_anti")
 
 
 def tokenise(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

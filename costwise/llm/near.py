@@ -285,5 +285,19 @@ def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             .withColumn("class_id", F.when(F.col(text).isNull(), F.col(key)).otherwise(F.col("class_id"))))
 
 
+def one_of_class(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``df`` for each class: of the text with the least key (null last) one row with that key; and every
+    row whose text is null. Classes are told apart by their texts, so null or repeated keys join nothing."""
+    nodes, _, label = near_links(df, key, text)
+    named = nodes.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    first = (named.groupBy("label").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "h1", "h2")).alias("x"))
+             .select(F.col("x.least").alias("_least"), F.col("x.h1").alias("_h1"), F.col("x.h2").alias("_h2")))
+    rows = df.filter(F.col(text).isNotNull()).withColumn("_g1", F.xxhash64(F.col(text))).withColumn(
+        "_g2", F.xxhash64(F.lit(1), F.col(text)))
+    kept = rows.join(first, (F.col("_g1") == F.col("_h1")) & (F.col("_g2") == F.col("_h2"))
+                     & F.col(key).eqNullSafe(F.col("_least"))).dropDuplicates(["_g1", "_g2"])
+    return kept.select(*df.columns).unionByName(df.filter(F.col(text).isNull()))
+
+
 def op1_near_duplicates(spark, sf_dir: str) -> DataFrame:
     return near_classes(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "class_id")

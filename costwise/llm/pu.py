@@ -191,11 +191,11 @@ def score(df: DataFrame, model: Additive | None, prior: float) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def pu_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of documents (doc_id, text); trusted positives are the
+def pu_quality(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of documents (doc_id, text), with the columns ``carry``; trusted positives are the
     rows that ``labels`` marks 1, outside the held-out third, and the unlabelled text is that of all
     other rows outside it."""
-    rows = materialize(features(docs.select("doc_id", "text", (fold("doc_id", 3) == 1).alias("held_out"))), "style")
+    rows = materialize(features(docs.select("doc_id", "text", *carry, (fold("doc_id", 3) == 1).alias("held_out"))), "style")
     learn = rows.filter(~F.col("held_out"))
     marked = learn.join(labels.filter("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
     model, prior = fit(marked, learn)

@@ -388,3 +388,30 @@ def test_pipeline_takes_odd_and_empty_tables(spark, odd):
         for _, stage in corpus_pipeline.STAGES:
             docs = tables.materialize(stage(spark, docs, SMALL), "odd-stage")
         assert docs.count() <= rows.count()
+
+
+def test_pipeline_decides_by_row(spark):
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(10 ** 9)}"
+    texts = [" ".join(word() for _ in range(80)) for _ in range(8)]
+    rows = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:7]] + [(None, texts[7] + " tail"), (3, texts[7])]
+    rows += [(None, None), (None, None), (7, None), (7, texts[4]), (None, texts[0])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    order = lambda pairs: sorted(pairs, key=repr)
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, SMALL).collect()]
+    assert order(left) == order(x for i, x in enumerate(rows) if i not in (7, 12, 13))
+
+    passage = tables.read(spark, SMALL, "benchmark").first().text
+    leaky = docs.unionByName(spark.createDataFrame([(i, passage, "en", "s", 1) for i in (None, 7)], DOCS))
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, leaky, SMALL).collect()]
+    assert order(left) == order(rows)
+
+    own = tables.documents(spark, SMALL).select(*corpus_pipeline.COLUMNS)
+    ranked = pu.pu_quality(own, tables.read(spark, SMALL, "labels")).orderBy("score").collect()
+    was = {r.doc_id: r.text for r in own.collect()}
+    best = [r for r in ranked if r.held_out][-1]  # rows of its id are not learnt from
+    assert ranked[0].predicted == 0 and best.predicted == 1
+    good, bad, same = was[best.doc_id], was[ranked[0].doc_id], best.doc_id
+    odd_rows = own.unionByName(spark.createDataFrame([(None, good, "en", "s", 1), (None, bad, "en", "s", 1), (same, bad, "en", "s", 1)], DOCS))
+    left = corpus_pipeline.quality(spark, odd_rows, SMALL).collect()
+    assert [r.text for r in left if r.doc_id is None] == [good] and [r.text for r in left if r.doc_id == same] == [good]
