@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_query, decontam, langid, near, pu, quality_rules, sharding_query, suffix, toxicity
+from . import bpe, chat_query, decontam, langid, near, pu, quality_rules, sharding_query, suffix, toxicity, variants
 
 QUERIES = {
     "op1_near_duplicates": near.op1_near_duplicates,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_shards": sharding_query.op9_shards,
     "op10_language_id": langid.op10_language_id,
+    "op11_spelling_variants": variants.op11_spelling_variants,
 }
 ORACLE_SQL = {
     "op2_quality_rules": quality_rules.ORACLE,
     "op4_chat_format": chat_query.ORACLE,
     "op9_shards": sharding_query.ORACLE,
+    "op11_spelling_variants": variants.ORACLE,
 }
