@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_query, decontam, langid, near, pu, quality_rules, sharding_query, suffix, toxicity, variants
+from . import (bpe, chat_query, decontam, langid, mixing, near, pu, quality_rules, ranked, sharding_query, suffix, toxicity,
+               variants)
 
 QUERIES = {
     "op1_near_duplicates": near.op1_near_duplicates,
@@ -16,10 +17,14 @@ QUERIES = {
     "op9_shards": sharding_query.op9_shards,
     "op10_language_id": langid.op10_language_id,
     "op11_spelling_variants": variants.op11_spelling_variants,
+    "op12_source_mix": mixing.op12_source_mix,
+    "op13_ranked_search": ranked.op13_ranked_search,
 }
 ORACLE_SQL = {
     "op2_quality_rules": quality_rules.ORACLE,
     "op4_chat_format": chat_query.ORACLE,
     "op9_shards": sharding_query.ORACLE,
     "op11_spelling_variants": variants.ORACLE,
+    "op12_source_mix": mixing.ORACLE,
+    "op13_ranked_search": ranked.ORACLE,
 }
