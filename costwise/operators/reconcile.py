@@ -9,9 +9,8 @@ Distributed form, no driver loop:
   independent (group, amount) sub-groups;
 * when the debit and credit accounts of a sub-group are disjoint, the k-th debit
   pairs with the k-th credit (two ``row_number``s and one equi join);
-* other sub-groups (an account on both sides) and whole groups holding a two-sided
-  entry run the exact scan as a JVM-side fold (``aggregate`` over the sorted entries
-  of that group). These groups are keyed by amount, so they stay small.
+* amounts that two-sided entries tie together are one sub-group; these, and sub-groups with an account
+  on both sides, run the exact scan (``pairing``): near-linear in a sub-group, open entries in first-in queues.
 
 With ``cap=True`` (transactions without item links) the source stops pairing a
 transaction once 1 or 3 of its n entries are left: for odd n the last pair (by
@@ -28,7 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .upsert import replace_partitions
+from . import stored
+from .pairing import connected_amounts, exact_pairs
 
 # Reconciliation types written to the output.
 TIP_PAIR = "1D - 1C"
@@ -38,38 +38,22 @@ TIP_NONITEM_ERROR = "nonItem error"
 TIP_ITEM_LINK = "item link"
 TIP_ITEM_ERROR = "Item error"
 
-_ENTRY_T = "struct<e:bigint,a:string,d:decimal(18,2),c:decimal(18,2)>"
-
-
-def _fold_expr() -> str:
-    compat = ("(o.a != x.a AND ((o.d != 0 AND x.c = o.d) OR (o.c != 0 AND x.d = o.c)))")
-    idx = f"CAST(array_position(transform(acc.open, o -> {compat}), true) AS INT)"
-    return f"""aggregate(
-      array_sort(collect_list(named_struct('e', entry_no, 'a', account, 'd', debit, 'c', credit))),
-      named_struct('open', cast(array() as array<{_ENTRY_T}>),
-                   'pairs', cast(array() as array<struct<e1:bigint,e2:bigint>>)),
-      (acc, x) -> CASE WHEN {idx} > 0 THEN
-          named_struct('open', filter(acc.open, (o, i) -> i != {idx} - 1),
-                       'pairs', concat(acc.pairs, array(named_struct('e1', element_at(acc.open, {idx}).e, 'e2', x.e))))
-        ELSE named_struct('open', concat(acc.open, array(x)), 'pairs', acc.pairs) END,
-      acc -> acc.pairs)"""
-
-
 def match_pairs(rows: DataFrame, keys: Sequence[str], cap: bool) -> DataFrame:
     """Pairs (keys..., e1, e2) with e1 < e2 by the matching rule.
 
     rows: keys, entry_no (unique in a group), account, debit, credit (decimal(18,2)).
-    No step gathers a whole group: which groups hold a two-sided entry, and which amounts an
-    account on both sides, are grouped flags (combined before the shuffle) joined back, and
+    No step gathers a whole group: which amounts two-sided entries tie together, and which amounts an
+    account has on both sides, are grouped flags (combined before the shuffle) joined back, and
     the ranks are taken per (group, amount, side).
     """
     keys = list(keys)
-    r = rows.select(*keys, "entry_no", "account", "debit", "credit")
-    two = r.filter((F.col("debit") != 0) & (F.col("credit") != 0)).select(*keys).distinct()
-    one = (r.join(two, keys, "left_anti")
-           .withColumn("_amt", F.when(F.col("debit") != 0, F.col("debit")).otherwise(F.col("credit")))
-           .withColumn("_d", (F.col("debit") != 0).cast("int")))
+    r = rows.select(*keys, "entry_no", "account", "debit", "credit").withColumn(
+        "_amt", F.when(F.col("debit") != 0, F.col("debit")).otherwise(F.col("credit")))
     sub = keys + ["_amt"]
+    two = (F.col("debit") != 0) & (F.col("credit") != 0)
+    tied = materialize(connected_amounts(r.filter(two), keys), "gl-tied-amounts")
+    r = r.join(tied, sub, "left")
+    one = r.filter(F.col("_part").isNull()).withColumn("_d", (F.col("debit") != 0).cast("int"))
     shared = (one.groupBy(*sub, "account").agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
               .filter("_lo <> _hi").select(*sub).distinct())
     fast = one.join(shared, sub, "left_anti")
@@ -78,13 +62,11 @@ def match_pairs(rows: DataFrame, keys: Sequence[str], cap: bool) -> DataFrame:
     c = fast.filter(F.col("_d") == 0).select(*sub, "_k", F.col("entry_no").alias("_ce"))
     fast_pairs = d.join(c, sub + ["_k"]).select(*keys, F.least("_de", "_ce").alias("e1"),
                                                 F.greatest("_de", "_ce").alias("e2"))
-    fold = F.expr(_fold_expr())
-    exact_sub = one.join(shared, sub, "left_semi")
-    exact_tx = r.join(two, keys, "left_semi")
-    p1 = exact_sub.groupBy(*sub).agg(fold.alias("_p")).select(*keys, F.explode("_p").alias("_x"))
-    p2 = exact_tx.groupBy(*keys).agg(fold.alias("_p")).select(*keys, F.explode("_p").alias("_x"))
-    exact_pairs = p1.unionByName(p2).select(*keys, F.col("_x.e1").alias("e1"), F.col("_x.e2").alias("e2"))
-    pairs = fast_pairs.unionByName(exact_pairs)
+    # a part is named by its amount: tied amounts by the least of them
+    both = one.join(shared, sub, "left_semi").withColumn("_part", (F.col("_amt") * 100).cast("long"))
+    exact = r.filter(F.col("_part").isNotNull()).unionByName(both.select(*r.columns))
+    exact_pairs_ = exact_pairs(exact, keys, "_part")
+    pairs = fast_pairs.unionByName(exact_pairs_)
     if not cap:
         return pairs
     n = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -206,6 +188,9 @@ def reconcile(entries: DataFrame, relations: DataFrame, parts: Sequence[str] = (
         item_err = _raw_rows(linked.join(lused, lkeys + ["entry_no"], "left_anti"), TIP_ITEM_ERROR, link=True)
         item_rows = lrows.unionByName(item_err).select(*OUT_COLS)
     result = nonitem_rows.unionByName(item_rows)
+    if "gates" in parts:
+        # the gates read the staged rows, and so does who publishes them: the result is computed once
+        result = materialize(result, "gl-staged")
     if "gates" not in parts:
         return {"result": result, "gates": None, "links": links}
 
@@ -213,6 +198,13 @@ def reconcile(entries: DataFrame, relations: DataFrame, parts: Sequence[str] = (
         return (df.groupBy(*keys).agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
                 .filter(F.col("debit") != F.col("credit")).select(F.lit(gate).alias("gate"), *keys, "debit", "credit"))
 
+    done = result.select("posting_date", "entry_no").distinct()
+
+    def left(df, gate):
+        """Entries of ``df`` without a row in the result, by transaction."""
+        return (df.join(done, ["posting_date", "entry_no"], "left_anti").groupBy(*keys)
+                .agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit")).select(F.lit(gate).alias("gate"), *keys, "debit", "credit"))
+
     nonitem_tips = [TIP_PAIR, TIP_1D_NC, TIP_NC_1D, TIP_1C_ND, TIP_ND_1C, TIP_NONITEM_ERROR]
     unlinked = item.filter(F.col("item_link").isNull())
     gates = (unbalanced(rest1, "non-item remainder unbalanced")
@@ -220,7 +212,9 @@ def reconcile(entries: DataFrame, relations: DataFrame, parts: Sequence[str] = (
              .unionByName(unbalanced(item, "item transactions unbalanced"))
              .unionByName(unlinked.groupBy(*keys).agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
                           .select(F.lit("entries without link").alias("gate"), *keys, "debit", "credit"))
-             .unionByName(unbalanced(result.filter(~F.col("tip").isin(nonitem_tips)), "item result unbalanced")))
+             .unionByName(unbalanced(result.filter(~F.col("tip").isin(nonitem_tips)), "item result unbalanced"))
+             .unionByName(left(nonitem, "non-item entries left"))
+             .unionByName(left(s, "entries left")))
     return {"result": result, "gates": gates, "links": links}
 
 
@@ -243,8 +237,9 @@ def reconcile_month(entries: DataFrame, relations: DataFrame, year: int, month:
                     end_day: int | None = None, path: str | None = None, strict: bool = True) -> DataFrame:
     """Reconcile the days of one month as one job (no day loop).
 
-    ``strict``: a violated balance gate raises ``UnbalancedError`` and nothing is written, as in the
-    source. ``path``: the days' partitions there are replaced by the result.
+    ``strict``: all seven balance gates are checked on the staged rows; a violated one raises ``UnbalancedError`` and nothing is
+    published, as in the source. ``path``: the days there (``stored.publish``) are replaced by the staged rows in one step;
+    days without rows keep what they had. A rerun publishes the same rows again.
     """
     first, last = month_range(year, month, start_day, end_day)
     days = entries.filter(F.col("posting_date").between(F.lit(first), F.lit(last)))
@@ -254,5 +249,5 @@ def reconcile_month(entries: DataFrame, relations: DataFrame, year: int, month:
         if bad:
             raise UnbalancedError("; ".join(f"{r['gate']}: {r['posting_date']} {r['transaction_no']}" for r in bad))
     if path:
-        replace_partitions(out["result"], path, "posting_date")
+        stored.publish(out["result"], path, "posting_date")
     return out["result"]

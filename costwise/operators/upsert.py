@@ -1,4 +1,4 @@
-"""Keyed upsert (newer wins), dated snapshots and partition replacement."""
+"""Keyed upsert (newer wins); ``stored`` writes it to tables."""
 
 from __future__ import annotations
 
@@ -27,40 +27,3 @@ def upsert_newer(target: DataFrame, staging: DataFrame, keys: Sequence[str], ts:
     take_s = F.col("_s_present").isNotNull() & (
         F.col("_t_present").isNull() | (F.col(f"_s_{ts}") >= F.col(f"_t_{ts}")))
     return j.select(*[F.when(take_s, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c) for c in cols])
-
-
-def _exists(spark, path: str) -> bool:
-    """Whether the path exists in its own file system (any other trouble raises)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def snapshot(tables: dict[str, DataFrame], bom_date, path: str) -> None:
-    """Archive each table under ``{path}/{name}`` partitioned by ``bom_date``.
-
-    Refuses a null date and a date that is already archived in any of the tables
-    (checked on the partition column, which Spark prunes to directory listings).
-    """
-    if bom_date is None:
-        raise ValueError("snapshot date must not be null")
-    spark = next(iter(tables.values())).sparkSession
-    d = F.lit(str(bom_date)).cast("date")
-    for name in tables:
-        target = f"{path}/{name}"
-        if not _exists(spark, target):
-            continue
-        existing = spark.read.parquet(target)
-        if existing.filter(F.col("bom_date") == d).limit(1).count():
-            raise ValueError(f"{name} already archived for {bom_date}")
-    for name, df in tables.items():
-        df.withColumn("bom_date", d).write.mode("append").partitionBy("bom_date").parquet(f"{path}/{name}")
-
-
-def replace_partitions(df: DataFrame, path: str, column: str) -> None:
-    """Overwrite only the partitions of ``column`` present in ``df`` (dynamic partition overwrite).
-
-    A day without rows in ``df`` keeps its earlier output, as in the source.
-    """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(column).parquet(path))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..functions.exprs import unit_cost
 from ..operators.convert import with_uom_rate
 from ..operators.picks import latest_row
+from ..operators import stored
 from ..operators.upsert import upsert_newer
+from ..session import scratch_path
 from .registry import register
 
 COST_CTES = """
@@ -150,3 +152,37 @@ def upsert_newer_wins(t):
     target, staging = _upsert_inputs(t)
     out = upsert_newer(target, staging, ["item_no"], "mod_de")
     return out.withColumn("cost", F.col("cost").cast("double"))
+
+
+@register("upsert_stored", _UPSERT_SQL)
+def upsert_stored(t):
+    """The same upsert into a stored table in 32 buckets: the target is written, staging is merged twice (the second time changes
+    nothing), the table is read back."""
+    target, staging = _upsert_inputs(t)
+    path = scratch_path(t.spark, "unit-costs")
+    stored.create(target, path, ["item_no"], 32)
+    for _ in range(2):
+        stored.merge(staging, path, ["item_no"], "mod_de", 32)
+    return stored.table(t.spark, path).withColumn("cost", F.col("cost").cast("double"))
+
+
+#: Dates of the archived snapshots.
+SNAPSHOTS = ("1999-12-31", "2000-01-31")
+
+
+@register("snapshot_archive", "WITH " + COST_CTES + "," + ITEM_UOM_SQL + f""",
+dates(d) AS (VALUES {", ".join(f"(DATE '{d}')" for d in SNAPSHOTS)})
+SELECT 'unit_cost' AS archived, d AS bom_date, CAST(item_no AS VARCHAR) AS key, CAST({_UC_COST} AS DOUBLE) AS value FROM c, dates
+UNION ALL
+SELECT 'item_uom', d, item_no || '/' || code, CAST(qty_per_uom AS DOUBLE) FROM item_uom, dates""")
+def snapshot_archive(t):
+    """Unit costs and unit conversions archived as of two dates and read back."""
+    c = _cost_inputs(t)
+    uc = unit_cost("nav_unit", "nav_standard", "nav_last", "estimate", "purchase", "legacy")
+    tables = {"unit_cost": c.select(F.col("item_no").cast("string").alias("key"), uc.unit_cost.cast("double").alias("value")),
+              "item_uom": item_uom(t).select(F.concat_ws("/", "item_no", "code").alias("key"), F.col("qty_per_uom").cast("double").alias("value"))}
+    path = scratch_path(t.spark, "archive")
+    for d in SNAPSHOTS:
+        stored.archive(tables, d, path)
+    parts = [stored.read(t.spark, f"{path}/{n}", "bom_date").select(F.lit(n).alias("archived"), "bom_date", "key", "value") for n in tables]
+    return parts[0].unionByName(parts[1])

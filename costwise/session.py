@@ -51,6 +51,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS)")
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path under the shared checkpoint folder."""
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/costwise-{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df, label: str = "stage"):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
@@ -58,10 +65,7 @@ def materialize(df, label: str = "stage"):
     plan, which nests level after level in iterative jobs). A lost executor re-reads
     the files instead of recomputing earlier iterations.
     """
-    import uuid
-
     spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/costwise-{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known: no job to read footers

@@ -135,6 +135,21 @@ def gl_item_relations(gl: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
+def gl_balanced(gl: DataFrame) -> DataFrame:
+    """The entries and for each a counter entry on an account of its own: every transaction balances."""
+    first = F.substring("account", 1, 1)
+    mirror = F.concat(F.when(first == "6", F.lit("8")).otherwise(F.lit("9")), F.substring("account", 2, 9))
+    counter = gl.withColumn("entry_no", F.col("entry_no") + ENTRY_STEP // 2).withColumn("account", mirror).withColumn(
+        "_d", F.col("debit")).withColumn("debit", F.col("credit")).withColumn("credit", F.col("_d")).drop("_d")
+    return gl.unionByName(counter)
+
+
+def gl_whole_relations(gl: DataFrame) -> DataFrame:
+    """Value-entry links of all entries of every third transaction, so that none of its entries is without a link."""
+    return gl.filter(F.col("transaction_no") % 3 == 0).select(
+        F.col("entry_no").alias("gl_entry_no"), (F.col("transaction_no") * 10 + F.col("part_no") % 2).alias("value_entry_no"))
+
+
 # --- production orders, order lines, routing lines, components, capacity ledger ---------------
 
 def prod_orders(t: Tables) -> DataFrame:

@@ -106,6 +106,51 @@ def test_closure_quantities_and_cycle(spark):
     assert closure(seeds, deep).agg(F.max("level")).first()[0] == 70
 
 
+def test_closure_work_grows_with_edges_on_a_diamond(spark):
+    """20 levels of two parts that both hold the same two parts: 2**20 paths, 4 edges a level."""
+    from costwise.operators.explode import closure
+    rows = [(f"{a}{i}", f"I{b}{i + 1}", f"{b}{i + 1}", q) for i in range(20) for a in "LR" for b, q in (("L", 1), ("R", 1))]
+    edges = spark.createDataFrame(rows, "bom_no string, item_no string, child_bom string, quantity_per int")
+    seeds = spark.createDataFrame([("S", "L0")], "seed string, bom_no string")
+    got = {(r["item_no"], r["level"]): int(r["qty"]) for r in closure(seeds, edges).collect()}
+    assert got == {(f"I{b}{level}", level): 2 ** (level - 1) for level in range(1, 21) for b in "LR"}
+
+
+def test_closure_adds_up_all_paths_of_random_graphs(spark):
+    from collections import Counter
+
+    from costwise.operators.explode import closure
+    rng = random.Random(11)
+    lines = [(f"B{i}", f"I{j}", f"B{j}" if j < 14 else None, rng.randint(1, 3)) for i in range(12) for j in rng.sample(range(i + 1, 18), 3)]
+    lines += [("B0", "I3", "B3", 1)]  # a line twice
+    want = Counter()
+
+    def walk(seed, bom, level, qty):
+        for b, item, child, q in lines:
+            if b == bom:
+                want[seed, item, level] += qty * q
+                if child:
+                    walk(seed, child, level + 1, qty * q)
+
+    seeds = [("S0", "B0"), ("S1", "B1"), ("S0", "B2"), ("S2", None)]
+    for seed, bom in seeds:
+        if bom:
+            walk(seed, bom, 1, 1)
+    out = closure(spark.createDataFrame(seeds, "seed string, bom_no string"),
+                  spark.createDataFrame(lines, "bom_no string, item_no string, child_bom string, quantity_per int"))
+    assert {(r["seed"], r["item_no"], r["level"]): int(r["qty"]) for r in out.collect()} == dict(want)
+
+
+def test_closure_finds_a_cycle_below_other_boms_only_if_reached(spark, monkeypatch):
+    from costwise.operators import explode
+    monkeypatch.setattr(explode, "CHECK_LEVEL", 5)
+    edges = spark.createDataFrame([("B1", "X", "B2", 1), ("B2", "Y", "B3", 1), ("B3", "Z", "B2", 1), ("C1", "X", "C2", 1)],
+                                  "bom_no string, item_no string, child_bom string, quantity_per int")
+    with pytest.raises(explode.CycleError):
+        explode.closure(spark.createDataFrame([("S", "B1")], "seed string, bom_no string"), edges)
+    assert explode.closure(spark.createDataFrame([("S", "C1")], "seed string, bom_no string"), edges).count() == 1
+
+
 def test_uom_rate_and_duplicate_keys(spark):
     from costwise.operators.convert import assert_unique, with_uom_rate
     uom = spark.createDataFrame([("I1", "UN", 1), ("I1", "box", 12), ("I2", "UN", 0)],
@@ -136,6 +181,7 @@ def test_ageing_rounds(spark):
 def test_reconcile_month_gates_and_partitions(spark, tmp_path):
     import datetime as dt
 
+    from costwise.operators import stored
     from costwise.operators.reconcile import UnbalancedError, month_range, reconcile_month
     assert month_range(2024, 2) == (dt.date(2024, 2, 1), dt.date(2024, 2, 29))
     for bad in ((2024, 13, 1, None), (2024, 2, 0, 5), (2024, 2, 5, 4), (2023, 2, 1, 29)):
@@ -153,7 +199,7 @@ def test_reconcile_month_gates_and_partitions(spark, tmp_path):
     path = f"{tmp_path}/out"
     out = reconcile_month(df, none, 2024, 1, path=path)
     assert out.agg(F.sum("debit") - F.sum("credit")).first()[0] == 0
-    assert spark.read.parquet(path).count() == out.count() > 0
+    assert stored.read(spark, path, "posting_date").count() == out.count() > 0
     assert {r["entry_no"] for r in out.select("entry_no").collect()} == set(range(150))
     with pytest.raises(UnbalancedError):
         reconcile_month(df.filter("entry_no <> 3"), none, 2024, 1)
