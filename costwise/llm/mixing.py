@@ -33,7 +33,7 @@ BLOCK = 256
 #: The golden ratio as a 32-bit fraction.
 GOLDEN, UNIT = 2654435769, 1 << 32
 #: Slots of one chunk of ranks; distinct rows of one hash range, about.
-CHUNK, RANGE_ROWS = 1 << 16, 50_000
+CHUNK, RANGE_ROWS = 1 << 16, 4_000
 
 
 def measured(docs: DataFrame) -> DataFrame:
