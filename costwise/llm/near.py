@@ -6,18 +6,21 @@ k-mers and puts them back in text order; the tuple is the bucket key, so texts m
 share those k-mers in the same order. Keys of L = 4, 7 and 11 k-mers nest: the longer ones
 split large buckets. Equal texts are one node, carried by their least id.
 
-Candidates: in buckets of up to ``SMALL`` texts all pairs; larger buckets link every text to the
+Candidates come in rounds over groups of bands (``ROUNDS``); a round compares only texts that the rounds before left in
+different classes, and no pair twice. In buckets of up to ``SMALL`` texts all such pairs; larger buckets link every text to the
 bucket's leader (the text with the most copies, then the least id) and to a second one that a
 hash picks, at each length, and the texts meet again in the finer buckets, where the same rule holds. What the leaders leave open is
 compared in full: the texts of every large bucket of the shortest key that is still of several classes meet by a
-prefix-filtered k-mer join. In the order by frequency, rarest first, two texts at 0.8 share one of their first
-n - ceil(0.8 n) + 1 k-mers; pairs of one class, and pairs whose lengths rule 0.8 out, are left aside, as
-they change no class or cannot align. This step grows with the pairs of different classes that share rare k-mers.
+prefix-filtered k-mer join. In the order by frequency, rarest first, texts of n >= m k-mers at 0.8 have at least 4 (n + m) / 9 k-mers
+in common, so the first of these is within the first n - ceil(4 n / 5) + 1 of the longer one, the first m - ceil(8 m / 9) + 1 of the
+shorter one, and has as many k-mers behind it on both sides (positional filter). Texts that share a passage but are more than a ninth
+their own are apart by that already; pairs of one class are left aside, as they change no class.
 
 Verification: banded alignment of the two k-mer sequences. The longest common subsequence c
 inside the band gives c / (n + m - c), which must be at least 0.8; that value bounds the
-unmatched k-mers by (n + m) / 9, so the band of that width loses nothing. The alignment runs
-on bit vectors, a row of the band at a time. Verified links are joined into classes by least-label
+unmatched k-mers by (n + m) / 9, so the band of that width loses nothing. Labelled k-mers are distinct within a text, so
+the alignment visits the matches inside the band only, and keeps the lowest end of a common subsequence of each length:
+(n + m) log n steps. Verified links are joined into classes by least-label
 propagation over written tables.
 
 Recall: a pair at similarity 0.8 shares a key of length 4 in one of 20 bands with probability
@@ -31,6 +34,8 @@ no rows; columns of the input named like outputs are replaced.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -41,6 +46,10 @@ from .tables import documents, materialize
 from .textvec import U, mix, occurrences, pieces, prefix, ranges, raw, shingles, words
 
 K, BANDS, LENGTHS, SMALL, SIMILARITY = 5, 20, (4, 7, 11), 16, 0.8
+#: First bands of the rounds.
+ROUNDS = (0, 2, 7)
+#: K-mers times bands that are ranked at once.
+RANKED = 1 << 20
 SALTS = mix(np.arange(1, BANDS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 
 
@@ -54,21 +63,26 @@ def kmers(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def keys(ids: np.ndarray) -> np.ndarray:
-    """Bucket keys (bands x lengths) of one text's k-mers."""
-    out = np.zeros((BANDS, len(LENGTHS)), dtype=U)
+    """Bucket keys (bands x lengths) of one text's k-mers; a long text's bands one after the other."""
+    at_once = max(1, RANKED // max(len(ids), 1))
+    return np.concatenate([_keys(ids, SALTS[i:i + at_once]) for i in range(0, BANDS, at_once)])
+
+
+def _keys(ids: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(salts), len(LENGTHS)), dtype=U)
     most = min(max(LENGTHS), len(ids))
-    ranked = ids[None, :] * SALTS[:, None]
+    ranked = ids[None, :] * salts[:, None]
     ranked ^= ranked >> U(32)
     ranked *= U(0xD6E8FEB86659FD93)
     if len(ids) > most:
         at = np.argpartition(ranked, most - 1, axis=1)[:, :most]
     else:
-        at = np.broadcast_to(np.arange(len(ids)), (BANDS, len(ids)))
+        at = np.broadcast_to(np.arange(len(ids)), (len(salts), len(ids)))
     rank = np.take_along_axis(ranked, at, axis=1)
     by_rank = np.take_along_axis(at, np.argsort(rank, axis=1, kind="stable"), axis=1)
     for j, length in enumerate(LENGTHS):
         chosen = ids[np.sort(by_rank[:, :length], axis=1)]
-        key = SALTS + U(length)
+        key = salts + U(length)
         for c in range(chosen.shape[1]):
             key = mix(key * U(0xC2B2AE3D27D4EB4F) + chosen[:, c])
         out[:, j] = key
@@ -86,13 +100,15 @@ def aligned(a: list[int], b: list[int]) -> float:
     if len(shared) < SIMILARITY * (n + m - len(shared)):
         return 0.0
     band = (n + m) // 9 + 1
-    ones = (1 << n) - 1
-    v = ones
+    ends: list[int] = []  # the least place in ``a`` at which a common subsequence of each length ends
     for j, i in shared:
         if abs(i - j) <= band:
-            u = v & (1 << i)
-            v = ((v + u) | (v - u)) & ones
-    c = n - v.bit_count()
+            at = bisect_left(ends, i)
+            if at == len(ends):
+                ends.append(i)
+            else:
+                ends[at] = i
+    c = len(ends)
     return c / (n + m - c)
 
 
@@ -137,21 +153,22 @@ def verify(pairs: DataFrame) -> DataFrame:
 
 
 def candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs (a < b) of nodes from the buckets (node, rank, k4, k7, k11), and the large buckets (k4, node)
-    of which only some pairs are among them; ``rank`` orders the leaders."""
+    """Distinct pairs (a < b) of nodes of different classes from the buckets (node, label, rank, k4, k7, k11), and the large
+    buckets (k4, node) of which only some pairs are among them; ``rank`` orders the leaders. Buckets of one class are left aside."""
     out, large, parent = None, None, buckets
     for length in LENGTHS:
         key = f"k{length}"
-        size = parent.groupBy(key).agg(F.count(F.lit(1)).alias("size"), F.min("rank").alias("lead"),
-                                       F.min(F.struct(F.xxhash64(F.col(key), F.col("node")), "node")).alias("other"))
-        size = size.filter("size > 1")
-        met = materialize(parent.join(size, key), f"near-{key}")
+        size = parent.groupBy(key).agg(
+            F.count(F.lit(1)).alias("size"), F.min(F.struct("rank", "label")).alias("lead"), F.min("label").alias("_lo"),
+            F.max("label").alias("_hi"), F.min(F.struct(F.xxhash64(F.col(key), F.col("node")), "node", "label")).alias("other"))
+        met = materialize(parent.join(size.filter("_lo <> _hi").drop("_lo", "_hi"), key), f"near-{key}")
         small = met.filter(F.col("size") <= SMALL)
-        pairs = (small.select(key, F.col("node").alias("a")).join(small.select(key, F.col("node").alias("b")), key)
-                 .filter("a < b").select("a", "b"))
-        star = (met.filter(F.col("size") > SMALL)
-                .select("node", F.explode(F.array("lead.node", "other.node")).alias("to")).filter("node <> to")
-                .select(F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b")))
+        pairs = (small.select(key, F.col("node").alias("a"), F.col("label").alias("la"))
+                 .join(small.select(key, F.col("node").alias("b"), F.col("label").alias("lb")), key)
+                 .filter("a < b and la <> lb").select("a", "b"))
+        to = F.array(F.struct(F.col("lead.rank.node").alias("node"), F.col("lead.label").alias("label")), F.struct("other.node", "other.label"))
+        star = (met.filter(F.col("size") > SMALL).select("node", "label", F.explode(to).alias("to")).filter("label <> to.label")
+                .select(F.least("node", "to.node").alias("a"), F.greatest("node", "to.node").alias("b")))
         both = pairs.unionByName(star)
         out = both if out is None else out.unionByName(both)
         parent = met.filter(F.col("size") > SMALL).select(*parent.columns)
@@ -189,15 +206,17 @@ def remainder(texts: DataFrame, large: DataFrame, label: DataFrame) -> DataFrame
     # k-mers of one text only come first in the order and meet nothing, so they just count
     first = materialize(grams.join(df, "kmer")
                         .withColumn("at", F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "kmer")))
-                        .filter("at <= n - (4 * n + 4) div 5 + 1").select("kmer", "node", "label", "n"), "near-prefix")
-    # of two classes one is not the k-mer's largest: its texts look for the others
-    main = (first.groupBy("kmer", "label").agg(F.count(F.lit(1)).alias("m"))
-            .groupBy("kmer").agg(F.max(F.struct("m", "label")).alias("main"), F.count(F.lit(1)).alias("classes"))
-            .filter("classes > 1").select("kmer", F.col("main.label").alias("main")))
-    met = first.join(main, "kmer")
-    x = met.filter("label <> main").select("kmer", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"))
-    y = met.select("kmer", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"))
-    return (x.join(y, "kmer").filter("lx <> ly and 5 * least(nx, ny) >= 4 * greatest(nx, ny)")
+                        .filter("at <= n - (4 * n + 4) div 5 + 1").select("kmer", "node", "label", "n", "at"), "near-prefix")
+    # k-mers of one class meet nothing
+    mixed = first.groupBy("kmer").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("kmer")
+    met = first.join(mixed, "kmer")
+    side = lambda x: met.select("kmer", F.col("node").alias(x), F.col("label").alias(f"l{x}"), F.col("n").alias(f"n{x}"),
+                                F.col("at").alias(f"i{x}"))
+    # x is the longer text (by number where they are as long), y is found by its shorter prefix; the first k-mer in common has the rest behind it
+    y = side("y").filter("iy <= ny - (8 * ny + 8) div 9 + 1")
+    near = ("(nx > ny or (nx = ny and x > y)) and lx <> ly and 5 * ny >= 4 * nx"
+            " and 9 * (1 + least(nx - ix, ny - iy)) >= 4 * (nx + ny)")
+    return (side("x").join(y, "kmer").filter(near)
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
@@ -241,12 +260,13 @@ def near_links(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[
         # one parameter: transform hands a second one the position
         return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.get("keys", i * len(LENGTHS) + j))
 
-    bands = F.arrays_zip(*[of_length(j).alias(f"k{length}") for j, length in enumerate(LENGTHS)])
-    buckets = (one_row(sketch(rows))
-               .select("node", F.struct((-F.col("n")).alias("copies"), "least", "node").alias("rank"), F.explode(bands).alias("x"))
-               .select("node", "rank", *[F.col("x").getField(f"k{length}").alias(f"k{length}") for length in LENGTHS]))
-    found, large = candidates(buckets.distinct())
-    pairs = materialize(found, "near-pairs")
+    bands = F.arrays_zip(F.sequence(F.lit(0), F.lit(BANDS - 1)).alias("band"),
+                         *[of_length(j).alias(f"k{length}") for j, length in enumerate(LENGTHS)])
+    lengths = [f"k{length}" for length in LENGTHS]
+    buckets = materialize(
+        one_row(sketch(rows))
+        .select("node", F.struct((-F.col("n")).alias("copies"), "least", "node").alias("rank"), F.explode(bands).alias("x"))
+        .select("node", "rank", "x.band", *[F.col("x").getField(k).alias(k) for k in lengths]).distinct(), "near-buckets")
     texts = one_row(rows).select("node", "_t")
 
     def aligning(pairs: DataFrame) -> DataFrame:
@@ -254,13 +274,31 @@ def near_links(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[
         b = texts.select(F.col("node").alias("b"), F.col("_t").alias("tb"))
         return materialize(verify(pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb")), "near-links")
 
-    links = aligning(pairs)
-    label = components(links)
-    rest = remainder(texts, large, label)
-    more = None if rest is None else aligning(materialize(rest, "near-rest"))
-    if more is None or not more.limit(1).count():
+    links, label, tested, large = None, None, None, None
+    for i, low in enumerate(ROUNDS):
+        high = (*ROUNDS, BANDS)[i + 1]
+        now = buckets.filter((F.col("band") >= low) & (F.col("band") < high)).drop("band")
+        named = now.withColumn("label", F.col("node")) if label is None else (
+            now.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node")))
+        found, big = candidates(named)
+        found = found if tested is None else found.join(tested, ["a", "b"], "left_anti")
+        pairs = materialize(found, "near-pairs")
+        more = aligning(pairs)
+        label = components(more) if label is None else joined_classes(label, more)
+        links = more if links is None else links.unionByName(more)
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        large = big if large is None else large.unionByName(big)
+    rest = remainder(texts, large.distinct(), label)
+    if rest is None:
         return nodes, links, label
-    # the new links join classes: the same propagation over the classes' labels
+    more = aligning(materialize(rest.join(tested, ["a", "b"], "left_anti"), "near-rest"))
+    return nodes, links.unionByName(more), joined_classes(label, more)
+
+
+def joined_classes(label: DataFrame, more: DataFrame) -> DataFrame:
+    """Classes (id, label) after links (a, b) between them: the same propagation over the classes' labels."""
+    if more.isEmpty():
+        return label
     was = label.select("id", F.col("label").alias("of"))
     ends = (more.join(was.withColumnRenamed("id", "a").withColumnRenamed("of", "la"), "a", "left")
             .join(was.withColumnRenamed("id", "b").withColumnRenamed("of", "lb"), "b", "left")
@@ -269,9 +307,8 @@ def near_links(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[
     known = was.unionByName(ends.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("la").alias("of")),
                                                           F.struct(F.col("b").alias("id"), F.col("lb").alias("of")))).alias("x"))
                             .select("x.id", "x.of")).distinct()
-    label = known.join(joined.select(F.col("id").alias("of"), "label"), "of", "left").select(
-        "id", F.coalesce("label", "of").alias("label"))
-    return nodes, links.unionByName(more), materialize(label, "near-labels")
+    return materialize(known.join(joined.select(F.col("id").alias("of"), "label"), "of", "left").select(
+        "id", F.coalesce("label", "of").alias("label")), "near-labels")
 
 
 def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

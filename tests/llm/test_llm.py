@@ -125,6 +125,47 @@ def test_large_buckets_lose_no_pair(spark):
     assert {r.doc_id: r.class_id for r in near.near_classes(spark_df).collect()} == {i: i - i % 2 for i in range(300)}
 
 
+def test_band_alignment_is_the_longest_common_subsequence_and_takes_long_texts():
+    import time
+    rng = random.Random(2)
+    for _ in range(300):
+        n = rng.randint(1, 60)
+        a = rng.sample(range(200), n)
+        b = [x for x in a if rng.random() > 0.06]
+        for _ in range(rng.randint(0, 3)):
+            b.insert(rng.randint(0, len(b)), rng.choice([x for x in range(200, 300) if x not in b]))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
+            row = new
+        want = row[-1] / (len(a) + len(b) - row[-1])
+        got = near.aligned(a, b)
+        assert (got >= 0.8) == (want >= 0.8) and (want < 0.8 or got == pytest.approx(want))
+    million = list(range(1_000_000))
+    t = time.time()
+    assert near.aligned(million, million[:900_000] + [-x for x in million[900_000:]]) == pytest.approx(900_000 / 1_100_000)
+    assert time.time() - t < 30
+
+
+def test_recall_of_near_duplicates_against_all_rows(spark):
+    """Texts whose id ends in 0 against all others: every aligned pair shares a class (measured recall; 0.9 is asked for)."""
+    docs = tables.read(spark, SF, "documents").select("doc_id", "text")
+    label = {r.doc_id: r.class_id for r in near.near_classes(docs).collect()}
+    rows = [(r.doc_id, r.text) for r in docs.collect() if r.text]
+    ids, off, _ = near.kmers(*textvec.raw(pa.array([t for _, t in rows])))
+    seqs = [ids[x:y].tolist() for x, y in zip(off[:-1], off[1:])]
+    sets = [set(s) for s in seqs]
+    met = []
+    for i, (a, _) in enumerate(rows):
+        for j, (b, _) in enumerate(rows) if a % 10 == 0 else ():
+            if a != b and 5 * min(len(seqs[i]), len(seqs[j])) >= 4 * max(len(seqs[i]), len(seqs[j])) and len(sets[i] & sets[j]) * 2 > len(sets[i]):
+                if near.aligned(seqs[i], seqs[j]) >= 0.8:
+                    met.append(label[a] == label[b])
+    assert len(met) >= 10 and sum(met) >= 0.9 * len(met)
+
+
 # --- op2 -------------------------------------------------------------------------------------------------------------
 
 def test_rule_signals_and_certified_cutoffs(spark, odd):
