@@ -10,9 +10,10 @@ postings of its terms in the groups that are left. Neither step loses an item. A
 passage holds at least ``OVERLAP`` of the three-word sequences of its question and of its answer. Items of one
 text have no answer and are compared whole.
 
-The items are indexed in shards of ``SHARD_ITEMS``, each with its own statistics, and each shard is
-sent to the tasks whole (its size does not depend on the documents); all texts run against
-every shard.
+Document frequencies, the number of items, their mean length and the longest one are grouped sums over all items. Shards of
+``SHARD_ITEMS`` items split the postings only: scores and windows are the same for any number of shards. A shard's index
+is sent to the tasks whole (its size does not depend on the documents); all texts run against every shard, one shard after the other, and
+each one's rows are written before the next index is built.
 
 Edge cases: null and empty texts have no passages; items without words are never found; equal items
 are found each; an item with too few words for a sequence is compared by all its words; a null
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import documents, read
+from .tables import documents, materialize, read
 from .textvec import pieces
 
 THRESHOLD, OVERLAP, GRAM, SHARD_ITEMS, BLOCK, GROUPS = 0.6, 0.5, 3, 20000, 8, 32
@@ -69,25 +70,26 @@ def grams(ids: list) -> set:
 
 
 class Index:
-    """Inverted index of items (item key, question tokens, answer tokens)."""
+    """Inverted index of items (item key, question tokens, answer tokens), with the statistics of all items (their number,
+    mean and greatest length, items by term) or, without these, of its own."""
 
-    def __init__(self, items: list[tuple]):
+    def __init__(self, items: list[tuple], whole: tuple[int, float, int, dict[str, int]] | None = None):
         items = [x for x in items if any(x[1]) or any(x[2])]
         self.keys = [x[0] for x in items]
         self.question, self.answer = [x[1] for x in items], [x[2] for x in items]
         texts = [q + a for q, a in zip(self.question, self.answer)]
-        self.window = 2 * max([len(t) for t in texts], default=1)
+        self.window = 2 * (whole[2] if whole else max([len(t) for t in texts], default=1))
         self.vocab = {w: i for i, w in enumerate(sorted({w for t in texts for w in t} - {""}))}
         self.lookup = Lookup(self.vocab)
         n, v = len(texts), len(self.vocab)
-        mean = sum(map(len, texts)) / max(n, 1)
+        mean = whole[1] if whole else sum(map(len, texts)) / max(n, 1)
         rows = []
         for d, t in enumerate(texts):
             term, tf = np.unique([self.vocab[w] for w in t if w], return_counts=True)
             rows.append((np.full(len(term), d), term.astype(int), tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(t) / mean))))
         item, term, weight = (np.concatenate([r[j] for r in rows]) if rows else np.zeros(0, dtype=int) for j in range(3))
-        df = np.bincount(term, minlength=v)
-        impact = weight * np.log1p((n - df + 0.5) / (df + 0.5))[term]
+        df = np.array([whole[3][w] for w in self.vocab], dtype=float) if whole else np.bincount(term, minlength=v)
+        impact = weight * np.log1p(((whole[0] if whole else n) - df + 0.5) / (df + 0.5))[term]
         impact = impact / np.bincount(item, weights=impact, minlength=n)[item] if n else impact
         # the largest impact of each term in each block of items, and in each group of blocks
         blocks = max(1, -(-n // BLOCK))
@@ -189,6 +191,23 @@ def grams3(words: list[str]) -> dict[int, set]:
     return {n: {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} for n in range(1, GRAM + 1)}
 
 
+def item_terms(items: DataFrame, question: str, answer: str) -> DataFrame:
+    """(shard_key, length, terms) of items with words: their number of words and distinct ones."""
+    def run(batches):
+        for b in batches:
+            rows = []
+            for h, q, a in zip(b.column("h").to_pylist(), b.column("q").to_pylist(), b.column("a").to_pylist()):
+                t = tokens(q) + tokens(a)
+                if any(t):
+                    rows.append((h, len(t), sorted(set(t) - {""})))
+            h, n, terms = zip(*rows) if rows else ([], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(n, pa.int64()), pa.array(terms, pa.list_(pa.string()))],
+                                             names=["shard_key", "length", "terms"])
+
+    return items.select(F.xxhash64(F.col(question), F.col(answer)).alias("h"), F.col(question).alias("q"), F.col(answer).alias("a")).mapInArrow(
+        run, "shard_key long, length long, terms array<string>")
+
+
 def find_leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
                question: str = "question", answer: str = "answer", threshold: float = THRESHOLD,
                overlap: float = OVERLAP) -> DataFrame:
@@ -196,13 +215,20 @@ def find_leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     key_type, item_type = df.schema[key].dataType, items.schema[item].dataType
     schema = T.StructType([T.StructField(key, key_type), T.StructField(item, item_type), *T._parse_datatype_string(
         "score double, question_overlap double, answer_overlap double, passages long").fields])
-    n = items.count()
+    spelled = materialize(item_terms(items, question, answer), "leak-terms")
+    n, length, longest = spelled.agg(F.count(F.lit(1)), F.sum("length"), F.max("length")).first()
+    if not n:
+        return df.sparkSession.createDataFrame([], schema)
+    held = spelled.select("shard_key", F.explode("terms").alias("term"))
+    by_term = materialize(held.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "leak-df")
     shards = max(1, -(-n // SHARD_ITEMS))
-    shard = F.pmod(F.xxhash64(F.col(item), F.col(question), F.col(answer)), F.lit(shards))
+    shard = F.pmod(F.xxhash64(F.col(question), F.col(answer)), F.lit(shards))
     out = None
     for s in range(shards):
         rows = items.filter(shard == s).select(item, question, answer).orderBy(item, question, answer).collect()
-        index = Index([(r[0], tokens(r[1]), tokens(r[2])) for r in rows])
+        own = held.filter(F.pmod(F.col("shard_key"), F.lit(shards)) == s).select("term").distinct()
+        counts = {r.term: r.n for r in by_term.join(own, "term", "left_semi").collect()}
+        index = Index([(r[0], tokens(r[1]), tokens(r[2])) for r in rows], (n, length / n, longest, counts))
 
         def run(batches, index=index):
             for whole in batches:
@@ -215,6 +241,7 @@ def find_leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
         from pyspark.sql.pandas.types import to_arrow_type
         types = [to_arrow_type(f.dataType) for f in schema.fields]
         part = df.select(key, text).mapInArrow(run, schema)
+        part = part if shards == 1 else materialize(part, "leaks")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -5,8 +5,9 @@ lower case, is compressed in blocks once with each dictionary; the language with
 wins. The margin to the runner-up gives the score, and narrow margins are marked as rejected
 in the column ``accepted``.
 
-The dictionaries come from a bounded sample: ``DOCS_PER_LANG`` texts of each language (chosen
-by a hash of the id), of each up to ``SAMPLE_CHARS`` characters, ``DICT_BYTES`` in all. Their
+The dictionaries come from a bounded sample: ``DOCS_PER_LANG`` different texts of each language (chosen
+by a hash of the text, so copies count once), of each ``WINDOWS`` windows of ``WINDOW`` characters that a hash places anywhere in the whole
+text (a shorter text goes in whole); ``DICT_BYTES`` holds them all. Their
 total grows with the number of languages, not with the rows. Whole texts are classified.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; without learned
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from .tables import documents, fold
 from .textvec import pieces
 
-DOCS_PER_LANG, SAMPLE_CHARS, DICT_BYTES, BLOCK, LEVEL = 120, 2000, 98304, 2048, 6
+DOCS_PER_LANG, WINDOWS, WINDOW, DICT_BYTES, BLOCK, LEVEL = 120, 4, 200, 98304, 2048, 6
 #: Relative size margin that halves the doubt, and the least margin that is accepted.
 SCALE, LEAST = 0.02, 0.01
 NONE = "und"
@@ -35,17 +36,20 @@ NONE = "und"
 
 def learn(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
     """Dictionary content by language from rows with a text with letters and a language."""
-    w = Window.partitionBy(lang).orderBy(F.xxhash64(F.col(key)), F.col(key))
-    rows = (df.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-            .select(lang, key, F.substr(text, F.lit(1), F.lit(SAMPLE_CHARS)).alias("_t"))
-            .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= DOCS_PER_LANG)
-            .orderBy(lang, "_n").select(lang, "_t").collect())
+    lettered = (df.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+                .select(F.col(lang).alias("_lang"), F.col(text).alias("_t"), F.xxhash64(text).alias("_h")))
+    w = Window.partitionBy("_lang").orderBy("_h")
+    chosen = (lettered.select("_lang", "_h").distinct().withColumn("_n", F.row_number().over(w))
+              .filter(F.col("_n") <= DOCS_PER_LANG))
+    size = F.length("_t")
+    at = [F.pmod(F.xxhash64("_h", F.lit(i)), size - WINDOW + 1).cast("int") + 1 for i in range(WINDOWS)]
+    part = F.when(size <= WINDOWS * WINDOW, F.col("_t")).otherwise(F.concat_ws("\n", *[F.substring("_t", x, F.lit(WINDOW)) for x in at]))
+    rows = (lettered.join(chosen, ["_lang", "_h"]).groupBy("_lang", "_n").agg(F.min(part).alias("_t")).orderBy("_lang", "_n").collect())
     out: dict[str, bytes] = {}
-    for name, t in rows:
-        have = out.get(name, b"")
-        if len(have) < DICT_BYTES:
-            out[name] = have + t.lower().encode()[: DICT_BYTES - len(have)] + b"\n"
-    return out
+    for name, _, t in rows:
+        out[name] = out.get(name, b"") + t.lower().encode() + b"\n"
+    # letters of up to three bytes and more do not fit: the cut is at a character
+    return {name: x[:DICT_BYTES].decode("utf-8", "ignore").encode() for name, x in out.items()}
 
 
 def classify(df: DataFrame, dictionaries: dict[str, bytes], text: str = "text") -> DataFrame:

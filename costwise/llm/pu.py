@@ -157,10 +157,10 @@ def class_prior(fp: np.ndarray, fu: np.ndarray) -> float:
     return float(np.clip(ratio[a_p >= 0.25].min(), 0.05, 0.98))
 
 
-def fit(positive: DataFrame, unlabelled: DataFrame, key: str = "doc_id") -> tuple[Additive | None, float]:
+def fit(positive: DataFrame, unlabelled: DataFrame) -> tuple[Additive | None, float]:
     """Model and class prior from two tables with ``style`` features."""
-    p = _matrix(bounded_sample(positive, key, FIT_ROWS))
-    u = _matrix(bounded_sample(unlabelled, key, FIT_ROWS))
+    p = _matrix(bounded_sample(positive, FIT_ROWS))
+    u = _matrix(bounded_sample(unlabelled, FIT_ROWS))
     if not len(p) or not len(u):
         return None, 0.5
     both = np.concatenate((p, u))

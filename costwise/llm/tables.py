@@ -56,11 +56,12 @@ def fold(doc_id, modulus: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(0)) % modulus
 
 
-def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
-    """About ``bound`` rows chosen by a hash of ``key`` (all rows if there are fewer). Used to fit
-    models only; scores and counts run over all rows."""
-    n = df.count()
+def bounded_sample(df: DataFrame, bound: int) -> DataFrame:
+    """About ``bound`` different rows chosen by a hash of all their columns (all if there are fewer), so a null or repeated id is
+    drawn row by row and a row that repeats counts once. Used to fit models only; scores and counts run over all rows."""
+    rows = df.dropDuplicates()
+    n = rows.count()
     if n <= bound:
-        return df
+        return rows
     parts = 1 << 30
-    return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(parts)) < int(parts * bound / n))
+    return rows.filter(F.pmod(F.xxhash64(*rows.columns, F.lit(17)), F.lit(parts)) < int(parts * bound / n))

@@ -3,7 +3,12 @@
 Features are the distinct character n-grams (n = 3, 4, 5; ASCII lower-cased) of a whole text,
 hashed to ``BUCKETS``. From labelled texts the document counts of each bucket by class give the
 smoothed log-count ratio r; a logistic regression is fitted on indicators scaled by r, over
-the ``FEATURES`` buckets with the strongest class dependence (chi-square of at least ``STRONG``).
+the ``FEATURES`` buckets with the strongest class dependence (chi-square of at least ``STRONG``), each text's sum divided by
+the root of its number of n-grams. Both classes weigh the same, and the fit runs until its gradient vanishes.
+
+The selection is a matter of accuracy, not of size: with few labels more buckets fit noise. Held-out rows of sf0.1 (97 toxic, 728 not),
+found and false: 89 and 12 with these settings, 72 and 1 with 6,923 buckets (chi-square 3.84), 60 and 2 with 100,000; without class weights
+and roots, as it was, 76 and 8.
 
 The model is fitted on a bounded sample: at most about ``FIT_ROWS`` labelled rows chosen by a hash of
 the id. Every text is scored.
@@ -58,6 +63,11 @@ def grams(batch: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(sizes), np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32)
 
 
+def row_scale(offsets: np.ndarray) -> np.ndarray:
+    """Of each row, ten by the root of its number of distinct n-grams."""
+    return 10 / np.sqrt(np.maximum(np.diff(offsets), 1))
+
+
 def class_counts(df: DataFrame, text: str, label: str) -> tuple[np.ndarray, np.ndarray, int, int]:
     """Documents with each bucket by class, and documents by class (one sparse vector for each of
     at most FIT_TASKS tasks is shuffled)."""
@@ -98,7 +108,7 @@ def select(neg, pos, n_neg: int, n_pos: int) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(df: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> tuple[np.ndarray, float]:
     """Weight of every bucket and bias, from labelled rows (label 0 or 1)."""
-    rows = bounded_sample(df.filter(F.col(label).isin(0, 1)), key, FIT_ROWS).select(text, F.col(label).cast("int").alias(label))
+    rows = bounded_sample(df.filter(F.col(label).isin(0, 1)).select(key, text, F.col(label).cast("int").alias(label)), FIT_ROWS).select(text, label)
     neg, pos, n_neg, n_pos = class_counts(rows, text, label)
     weight = np.zeros(BUCKETS)
     if not n_neg or not n_pos:
@@ -114,15 +124,15 @@ def fit(df: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc
                 x = place[index]
                 kept = np.concatenate(([0], np.cumsum(x >= 0)))[off].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([b.column(label), pa.ListArray.from_arrays(
-                    pa.array(kept), pa.array(x[x >= 0].astype(np.int32)))], names=["y", "x"])
+                    pa.array(kept), pa.array(x[x >= 0].astype(np.int32))), pa.array(row_scale(off))], names=["y", "x", "scale"])
 
-    table = rows.repartition(FIT_TASKS).mapInArrow(run, "y int, x array<int>").toArrow()
+    table = rows.repartition(FIT_TASKS).mapInArrow(run, "y int, x array<int>, scale double").toArrow()
     x = table.column("x").combine_chunks()
     x = x.chunk(0) if isinstance(x, pa.ChunkedArray) else x
     offsets = x.offsets.to_numpy().astype(np.int64)
     index = x.values.to_numpy()[offsets[0]: offsets[-1]]
     y = table.column("y").to_numpy().astype(float)
-    weight[chosen], bias = linear.logistic(offsets - offsets[0], index, ratio, y)
+    weight[chosen], bias = linear.logistic(offsets - offsets[0], index, ratio, y, table.column("scale").to_numpy())
     return weight, bias
 
 
@@ -137,7 +147,7 @@ def score(df: DataFrame, weight: np.ndarray, bias: float, text: str = "text") ->
         for whole in batches:
             for b in pieces(whole, text):
                 off, index = grams(b, text)
-                p = linear.sigmoid(linear.scores(off, index, weight, bias))
+                p = linear.sigmoid(linear.scores(off, index, weight, 0.0) * row_scale(off) + bias)
                 yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in keep], pa.array(p),
                                                   pa.array((p >= 0.5).astype(np.int32))], names=schema.names)
 

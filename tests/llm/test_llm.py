@@ -89,6 +89,32 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == dict(enumerate(label))
 
 
+def test_shards_of_items_change_no_score(spark, monkeypatch):
+    docs = tables.read(spark, SMALL, "documents").select("doc_id", "text")
+    items = decontam.split_items(tables.read(spark, SMALL, "benchmark")).select("item_id", "question", "answer")
+    key = lambda df: sorted((r.doc_id, r.item_id, round(r.score, 9), r.passages) for r in df.collect())
+    one = key(decontam.find_leaks(docs, items, threshold=0.3, overlap=0.1))
+    monkeypatch.setattr(decontam, "SHARD_ITEMS", 9)
+    assert key(decontam.find_leaks(docs, items, threshold=0.3, overlap=0.1)) == one and one
+
+
+def test_language_windows_lie_anywhere_in_the_text(spark):
+    """The words of a language that its texts start with are not all that is learned."""
+    texts = [(i, "start " * 400 + " ".join(f"late{i}x{j}" for j in range(400)), "aa") for i in range(40)]
+    texts += [(1000 + i, texts[0][1], "aa") for i in range(200)]  # copies count once
+    got = langid.learn(spark.createDataFrame(texts, "doc_id long, text string, lang string"))["aa"]
+    # two thirds of a text are its late words; four windows miss them all in one text of a hundred
+    assert len(got) > 20_000 and len({i for i in range(40) if f"late{i}x".encode() in got}) >= 36
+    wide = langid.learn(spark.createDataFrame([(i, "字" * 5000 + str(i), "zh") for i in range(120)], "doc_id long, text string, lang string"))["zh"]
+    assert wide.decode() and len(wide) <= langid.DICT_BYTES
+
+
+def test_samples_draw_rows_not_ids(spark):
+    df = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    n = tables.bounded_sample(df.unionByName(df), 500).count()
+    assert 350 < n < 650
+
+
 def test_near_duplicates_of_odd_rows(spark, odd):
     rows = near.near_classes(odd).collect()
     assert len(rows) == odd.count()
