@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from . import stored
 
 _B = "struct<m:date,q:decimal(18,2),c:decimal(18,2)>"
 
@@ -37,7 +38,7 @@ aggregate(
   (acc, x) -> CASE WHEN size(acc) > 0 AND element_at(acc, -1).m = x.m THEN
       concat(slice(acc, 1, size(acc) - 1), array(named_struct('m', x.m,
         'q', cast(element_at(acc, -1).q + x.q as decimal(18,2)),
-        'c', cast(element_at(acc, -1).c + x.c as decimal(18,2)))))
+        'c', cast(coalesce(element_at(acc, -1).c + x.c, element_at(acc, -1).c, x.c) as decimal(18,2)))))
     ELSE concat(acc, array(x)) END)"""
 
 
@@ -50,6 +51,13 @@ def month_buckets(moves: DataFrame, start_date: str) -> DataFrame:
         F.round(F.sum("cost"), 2).cast("decimal(18,2)").alias("cost"))
 
 
+def entry_costs(ledger: DataFrame, values: DataFrame) -> DataFrame:
+    """``ledger`` (entry_no, …) with ``cost``: the sum of its value entries (entry_no, cost), rounded to 2; null without any. Values are
+    summed before the join, so an entry with many ships one row."""
+    sums = values.groupBy("entry_no").agg(F.round(F.sum("cost"), 2).cast("decimal(18,2)").alias("cost"))
+    return ledger.join(sums, "entry_no", "left")
+
+
 def age_stock(buckets: DataFrame, max_rounds: int, batch: int = 12) -> DataFrame:
     """Run the ageing rounds on (item_no, month, quantity, cost) buckets; items with a
     non-positive total are dropped first. Returns the final buckets."""
@@ -74,3 +82,33 @@ def age_stock(buckets: DataFrame, max_rounds: int, batch: int = 12) -> DataFrame
     arr = reduce(lambda a, b: a.unionByName(b), finished)
     return arr.select("item_no", F.inline("b")).select(
         "item_no", F.col("m").alias("month"), F.col("q").alias("quantity"), F.col("c").alias("cost"))
+
+
+def add_moves(moves: DataFrame, path: str, start_date: str, max_rounds: int, parts: int) -> None:
+    """Takes further moves (item_no, posting_date, quantity, cost) into the ageing stored at ``path``.
+
+    Two tables in ``parts`` by item: the month buckets before ageing, and the aged ones. New moves, of whatever month, are added to
+    the first; items are independent and ageing starts from these buckets, so only items with new moves are aged again, late
+    entries included, and the result is that of a run over all moves. Parts without such an item are not read or written.
+    """
+    spark = moves.sparkSession
+    new = materialize(stored.in_parts(month_buckets(moves, start_date), ["item_no"], parts), "ageing-new")
+    touched = sorted(str(r[0]) for r in new.select(stored.BUCKET).distinct().collect())
+    if not touched:
+        return
+    raw_path, aged_path = f"{path}/raw", f"{path}/aged"
+    raw, aged = new, None
+    items = new.select("item_no").distinct()
+    if stored.manifest(spark, raw_path)[0]:
+        old = stored.read(spark, raw_path, stored.BUCKET, touched).select(*new.columns)
+        raw = (new.unionByName(old).groupBy("item_no", "month", stored.BUCKET)
+               .agg(F.sum("quantity").cast("decimal(18,2)").alias("quantity"), F.sum("cost").cast("decimal(18,2)").alias("cost"))
+               .select(*new.columns))
+        raw = materialize(raw, "ageing-raw")
+        aged = stored.read(spark, aged_path, stored.BUCKET, touched).join(items, "item_no", "left_anti").select(*new.columns)
+    again = stored.in_parts(age_stock(raw.join(items, "item_no", "left_semi").drop(stored.BUCKET), max_rounds), ["item_no"], parts)
+    again = again.select(*new.columns)
+    aged = materialize(again if aged is None else aged.unionByName(again), "ageing-aged")
+    # aged first: a run that dies in between is repeated from the old buckets and gives the same
+    stored.publish(aged, aged_path, stored.BUCKET, touched)
+    stored.publish(raw, raw_path, stored.BUCKET, touched)

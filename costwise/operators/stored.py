@@ -33,33 +33,38 @@ def manifest(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
             raise
         return 0, {}
     version = rows.agg(F.max("version")).first()[0]
-    return version, {r.part: r.run for r in rows.filter(F.col("version") == version).collect()}
+    return version, {r.part: r.run for r in rows.filter((F.col("version") == version) & F.col("part").isNotNull()).collect()}
 
 
 def _commit(spark: SparkSession, path: str, version: int, runs: dict[str, str]) -> None:
-    rows = spark.createDataFrame(sorted(runs.items()), "part string, run string").coalesce(1)
+    # an empty table is one row without a part, as an empty folder would be no table
+    rows = spark.createDataFrame(sorted(runs.items()) or [(None, None)], "part string, run string").coalesce(1)
     rows.write.mode("errorifexists").parquet(f"{path}/manifest/version={version}")
 
 
-def publish(df: DataFrame, path: str, column: str) -> None:
-    """Replaces the parts of ``column`` that ``df`` has rows of; all others stay."""
+def publish(df: DataFrame, path: str, column: str, replaced: Sequence[str] = ()) -> None:
+    """Replaces the parts of ``column`` that ``df`` has rows of, and empties those of ``replaced`` that it has none of; all others stay."""
     spark = df.sparkSession
     version, runs = manifest(spark, path)
     run = f"r{version + 1}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").partitionBy(column).parquet(f"{path}/runs/run={run}")
-    parts = spark.read.parquet(f"{path}/runs/run={run}").select(F.col(column).cast("string").alias("p")).distinct().collect()
+    parts = [] if df.isEmpty() else (spark.read.parquet(f"{path}/runs/run={run}").select(F.col(column).cast("string").alias("p")).distinct()
+                                     .collect())
     if any(r.p is None for r in parts):
         raise ValueError(f"rows without {column}")
-    if parts:
-        _commit(spark, path, version + 1, {**runs, **{r.p: run for r in parts}})
+    if parts or replaced:
+        kept = {p: r for p, r in runs.items() if p not in set(replaced)}
+        _commit(spark, path, version + 1, {**kept, **{r.p: run for r in parts}})
 
 
 def read(spark: SparkSession, path: str, column: str, parts: Sequence[str] | None = None) -> DataFrame:
     """The table as of its manifest, or some of its parts. Only the runs and parts it names are read."""
-    _, runs = manifest(spark, path)
+    version, runs = manifest(spark, path)
     wanted = {p: r for p, r in runs.items() if parts is None or p in set(parts)}
-    if not runs:
+    if not version:
         raise ValueError(f"no table at {path}")
+    if not runs:
+        return spark.read.parquet(f"{path}/runs").drop("run").filter(F.lit(False))
     rows = spark.read.option("basePath", f"{path}/runs").parquet(*[f"{path}/runs/run={r}" for r in sorted(set(runs.values()))])
     by_run: dict[str, list[str]] = {}
     for p, r in wanted.items():
@@ -70,19 +75,20 @@ def read(spark: SparkSession, path: str, column: str, parts: Sequence[str] | Non
     return rows.filter(keep).drop("run")
 
 
-def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+def in_parts(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """With the part of each row by a hash of its key."""
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
 def create(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
     """A keyed table in ``buckets`` parts by a hash of its key."""
-    publish(_bucketed(df, keys, buckets), path, BUCKET)
+    publish(in_parts(df, keys, buckets), path, BUCKET)
 
 
 def merge(staging: DataFrame, path: str, keys: Sequence[str], ts: str, buckets: int) -> None:
     """Newer-wins upsert of ``staging`` into a keyed table: only the buckets that it has keys of are read and written anew."""
     spark = staging.sparkSession
-    staging = _bucketed(staging, keys, buckets)
+    staging = in_parts(staging, keys, buckets)
     touched = sorted(str(r[0]) for r in staging.select(BUCKET).distinct().collect())
     if not touched:
         return

@@ -8,5 +8,5 @@ from .registry import QUERIES, Query
 def all_queries() -> dict[str, Query]:
     # importing the plan modules registers their queries
     from . import (ageing, allocation, bom, controls, costing, costs, dated, gl, ledger, masters, prices, products,  # noqa: F401
-                   production, stock, versions)
+                   production, reports, stock, versions)
     return dict(QUERIES)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.ageing import age_stock, month_buckets
+from ..operators import stored
+from ..operators.ageing import add_moves, age_stock, entry_costs, month_buckets
+from ..session import materialize, scratch_path
+from ..sources import driver as D
 from .registry import register
 
 START, AS_OF = "1996-06-30", "2001-12-31"
@@ -23,11 +26,12 @@ def moves(t):
                     (sign * F.col("l_extendedprice").cast("decimal(18,2)")).alias("cost"))
 
 
-@register("stock_ageing", f"""WITH RECURSIVE
+def _ageing_sql(cost: str) -> str:
+    return f"""WITH RECURSIVE
 mv AS (
   SELECT l_partkey AS item_no, CAST(l_shipdate AS DATE) AS d,
     CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_quantity AS DECIMAL(18,2)) AS q,
-    CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_extendedprice AS DECIMAL(18,2)) AS c
+    {cost} AS c
   FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_type IN ({_G}))),
 b0 AS (
   SELECT item_no, CAST(date_trunc('month', greatest(d, DATE '{START}')) AS DATE) AS m,
@@ -47,9 +51,41 @@ rec AS (
       WINDOW w AS (PARTITION BY item_no ORDER BY m)))
   GROUP BY r, item_no, m)
 SELECT item_no, m AS month, CAST(q AS DOUBLE) AS quantity, CAST(c AS DOUBLE) AS cost
-FROM rec QUALIFY r = max(r) OVER (PARTITION BY item_no)""")
+FROM rec QUALIFY r = max(r) OVER (PARTITION BY item_no)"""
+
+
+_PRICE = "CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_extendedprice AS DECIMAL(18,2))"
+
+
+@register("stock_ageing", _ageing_sql(_PRICE))
 def stock_ageing(t):
     """Month buckets per part after moving non-positive buckets (start 1996-06-30, as of 2001-12-31)."""
     out = age_stock(month_buckets(moves(t), START), MONTHS + 1)
     return out.select("item_no", "month", F.col("quantity").cast("double").alias("quantity"),
                       F.col("cost").cast("double").alias("cost"))
+
+
+def valued_moves(t):
+    """The moves with the cost of their value entries: none, one (the price) or two (the price and twice the price) an entry."""
+    l = D.entry_numbered(t.lineitem.join(t.part.filter(F.col("p_type").isin(list(GROUPS))).select("p_partkey"),
+                                         F.col("l_partkey") == F.col("p_partkey"), "left_semi"))
+    sign = F.when(F.col("l_returnflag") == "R", F.lit(-1)).otherwise(F.lit(1))
+    ledger = l.select("entry_no", F.col("l_partkey").alias("item_no"), F.col("l_shipdate").cast("date").alias("posting_date"),
+                      (sign * F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"), "l_suppkey")
+    n = (F.col("l_suppkey") % 3).cast("int")
+    values = l.filter(n > 0).select("entry_no", F.explode(F.sequence(F.lit(1), n)).alias("k"),
+                                    (sign * F.col("l_extendedprice").cast("decimal(18,2)")).alias("price"))
+    return entry_costs(ledger, values.select("entry_no", (F.col("price") * F.col("k")).alias("cost")))
+
+
+@register("stock_ageing_incremental", _ageing_sql(f"CASE l_suppkey % 3 WHEN 1 THEN 1 WHEN 2 THEN 3 END * ({_PRICE})"))
+def stock_ageing_incremental(t):
+    """Ageing with costs from value entries, in two runs: all moves to the end of 1999 but some, then the later months with those, which
+    are late entries of old months. Equals one run over all moves."""
+    moves = materialize(valued_moves(t), "valued-moves")
+    path = scratch_path(t.spark, "ageing")
+    first = (F.col("posting_date") < F.lit("2000-01-01").cast("date")) & (F.col("l_suppkey") % 10 != 0)
+    for part in (first, ~first):
+        add_moves(moves.filter(part).select("item_no", "posting_date", "quantity", "cost"), path, START, MONTHS + 1, 32)
+    return stored.table(t.spark, f"{path}/aged").select(
+        "item_no", "month", F.col("quantity").cast("double").alias("quantity"), F.col("cost").cast("double").alias("cost"))

@@ -80,7 +80,9 @@ def _etn(col):
     return out
 
 
-def actual(t):
+def actual(t, listed=None, excluded=None):
+    """Consumption and labour of finished package orders, and these orders' packages; ``listed`` (item_no) limits the packages and
+    ``excluded`` (order_no) leaves out orders, both before the ledgers are joined."""
     il = D.item_ledger(t).select("order_no", "order_line_no", "item_no", "posting_date", "entry_type", "quantity",
                                  "cost_amount")
     part = t.part
@@ -91,6 +93,8 @@ def actual(t):
         F.concat(F.lit("L"), (F.col("o_custkey") % 4).cast("string")).alias("location_code"))
     pfs = (il.filter((F.col("entry_type") == D.ENTRY_OUTPUT) & (F.col("posting_date") >= F.lit(SINCE).cast("date")))
            .select("order_no", "item_no").join(pf, "item_no").join(closed, "order_no").distinct())
+    pfs = pfs if listed is None else pfs.join(listed, "item_no", "left_semi")
+    pfs = pfs if excluded is None else pfs.join(excluded, "order_no", "left_anti")
     ords = (il.filter((F.col("order_line_no") == 1) & (F.col("entry_type") == D.ENTRY_OUTPUT))
             .join(pfs, ["order_no", "item_no"])
             .groupBy("order_no", F.col("item_no").alias("source_no"), F.col("item_name").alias("source_name"), "range",
@@ -171,7 +175,8 @@ def cost_actual_vs_standard(t):
     """Actual consumption and hours of finished orders next to the BOM and routing standard of the package."""
     a, pfs = actual(t)
     pf_items = pfs.select(F.col("item_no").cast("string").alias("root_item"), "range").distinct()
-    comp, rl = _components(t, pf_items.select("root_item").distinct())
+    comp, rl = _components(t)
+    comp = comp.join(pf_items.select("root_item").distinct(), "root_item", "left_semi")
     leaf = null_leaf_costs(comp)
     names = leaf.filter(F.col("level") == 0).select("root_item", F.col("item_description").alias("source_name"),
                                                     F.col("factory").alias("root_factory"))

@@ -131,17 +131,17 @@ _SEL = ("SELECT posting_date, tip, transaction_no, entry_no, account, bal_entry_
         "source_no, CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit, item_link FROM result ")
 
 
-_ITEM_TIPS = (R.TIP_ITEM_LINK, R.TIP_ITEM_ERROR)
+def reconciled(t, what: str):
+    """``result``, ``gates`` or ``links`` of the reconciliation of all days: one run for all queries that read it."""
+    def run():
+        gl = materialize(D.gl_entries(t), "gl-entries")
+        return R.reconcile(gl, D.gl_item_relations(gl))
 
-
-def _reconciled(t, parts=("nonitem", "item", "gates")):
-    gl = materialize(D.gl_entries(t), "gl-entries")
-    return R.reconcile(gl, D.gl_item_relations(gl), parts)
+    return t.shared(f"gl/{what}", run)
 
 
 def _result(t, tips):
-    parts = ["item"] if set(tips) <= set(_ITEM_TIPS) else ["nonitem"]
-    r = _reconciled(t, parts)["result"].filter(F.col("tip").isin(list(tips)))
+    r = reconciled(t, "result").filter(F.col("tip").isin(list(tips)))
     return r.withColumn("debit", F.col("debit").cast("double")).withColumn("credit", F.col("credit").cast("double"))
 
 
@@ -167,9 +167,7 @@ gl_item_errors = _reg("gl_item_errors", [R.TIP_ITEM_ERROR], "Unmatched linked en
 @register("gl_link_key", GL_SQL + "SELECT entry_no, item_link FROM links")
 def gl_link_key(t):
     """Ordered comma list of value-entry numbers per G/L entry."""
-    gl = D.gl_entries(t)
-    scope = gl.filter((F.col("debit") != 0) | (F.col("credit") != 0))
-    return R.link_keys(scope, D.gl_item_relations(gl))
+    return reconciled(t, "links")
 
 
 @register("gl_gates", GL_SQL + f""",
@@ -198,7 +196,7 @@ g AS (
 SELECT gate, posting_date, transaction_no, CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit FROM g""")
 def gl_gates(t):
     """Balance-gate violations (the source raises on the first; here every violation is a row)."""
-    g = _reconciled(t)["gates"]
+    g = reconciled(t, "gates")
     return g.withColumn("debit", F.col("debit").cast("double")).withColumn("credit", F.col("credit").cast("double"))
 
 

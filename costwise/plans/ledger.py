@@ -5,10 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import reconcile as R
-from ..session import materialize
 from ..sources import driver as D
-from .gl import GL_SQL
+from .gl import GL_SQL, reconciled
 from .registry import register
 
 FISCAL = ("1996-05-01", "1997-04-30")
@@ -69,9 +67,7 @@ LEFT JOIN customer c ON r.source_type = 1 AND r.source_no = CAST(c.c_custkey AS
 LEFT JOIN supplier v ON r.source_type = 2 AND r.source_no = CAST(v.s_suppkey AS VARCHAR)""")
 def gl_reconciled(t):
     """Reconciliation rows with document number, source-type name and customer/vendor name."""
-    gl = materialize(D.gl_entries(t), "gl-entries")
-    res = R.reconcile(gl, D.gl_item_relations(gl), ("nonitem", "item"))["result"]
-    j = _names(t, res)
+    j = _names(t, reconciled(t, "result"))
     return j.select("posting_date", "tip", "transaction_no", "entry_no", "account", "bal_entry_no", "bal_account",
                     F.concat(F.lit("D"), F.col("transaction_no").cast("string")).alias("document_no"),
                     _code(F.col("source_type"), SOURCE_TYPES).alias("source_type"), "source_no", "source_name",

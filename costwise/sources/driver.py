@@ -70,6 +70,14 @@ def item_ledger(t: Tables) -> DataFrame:
     )
 
 
+def family_ledger(t: Tables) -> DataFrame:
+    """The line items booked on the first part of each family of four, the families' movements starting one after the other: parts without
+    a movement, and parts whose first one is late, exist."""
+    part = F.col("l_partkey")
+    return t.lineitem.select((part - part % 4).alias("item_no"),
+                             F.date_add(F.col("l_shipdate").cast("date"), (F.floor(part / 4) % 10 * 300).cast("int")).alias("posting_date"))
+
+
 def entry_posting_group(suppkey: Column) -> Column:
     return (F.when(suppkey % 3 == 0, F.lit("PF")).when(suppkey % 3 == 1, F.lit("MAT_PRIMA"))
             .otherwise(F.lit("SEMIFABR")))

@@ -161,3 +161,26 @@ def test_hot_transaction_on_shared_accounts(spark):
                     by.setdefault(k, []).append((e, account))
     assert got == sorted(want)
     assert took < 60
+
+
+def test_shared_views_follow_the_tables(spark, root):
+    """A view is built once for one state of the tables, and again when a table's files change."""
+    import shutil
+
+    from costwise.sources.tables import DRIVER_TABLES, Tables
+    for name in DRIVER_TABLES:
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", f"{root}/{name}.parquet")
+    built = []
+
+    def build(t):
+        built.append(1)
+        return {"n": t.part.groupBy().count(), "names": t.part.select("p_name").distinct()}
+
+    first, second = Tables(spark, root), Tables(spark, root)
+    n = first.shared("parts/n", lambda: build(first)).first()[0]
+    assert second.shared("parts/names", lambda: build(second)).count() and len(built) == 1
+    part = spark.read.parquet(f"{root}/part.parquet").limit(7).toPandas()
+    part.to_parquet(f"{root}/part.parquet")
+    spark.catalog.clearCache()
+    third = Tables(spark, root)
+    assert third.shared("parts/n", lambda: build(third)).first()[0] == 7 != n and len(built) == 2
