@@ -113,3 +113,32 @@ def package_headers(items: DataFrame, picked: DataFrame, orders: DataFrame, ledg
             .join(average_orders(orders).withColumnRenamed("source_no", "production_bom_no"), "production_bom_no", "left")
             .withColumn("avg_qty_type", F.when(low, F.lit("Default")).otherwise(F.lit("Calculated")))
             .withColumn("avg_qty", F.when(low, F.lit(200).cast(QTY)).otherwise(F.col("avg_calc"))))
+
+
+def kit_components(components: DataFrame, items: DataFrame, packages: DataFrame, ledger: DataFrame, item_uom: DataFrame) -> DataFrame:
+    """Kit components with the first assembly and first sale of the kit, those of the component if it is a package, and its unit cost in the
+    component's unit: a package costs what its BOM does (type ``BOM``, no cost), everything else its selected cost.
+
+    components: (kit_no, item_no, quantity_per, uom); items: ``item_master`` rows; packages: ``package_headers`` rows; ledger: (item_no,
+    posting_date, entry_type). The kit's two dates come from one pass over the ledger.
+    """
+    first = lambda kind: F.min(F.when(F.col("entry_type") == kind, F.col("posting_date")))
+    dates = (ledger.filter(F.col("entry_type").isin(1, 9)).groupBy(F.col("item_no").alias("kit_no"))
+             .agg(first(9).alias("kit_first_prod_date"), first(1).alias("kit_first_sale_date")))
+    kit = items.select(F.col("item_no").alias("kit_no"), F.col("description").alias("kit_description"), F.col("range").alias("kit_range"), "cod_abcd",
+                       "factory")
+    part = items.select("item_no", F.col("description").alias("item_description"), "item_type", F.col("technical_family").alias("item_family"), "length",
+                        "width", "height", "base_uom", F.col("unit_cost_type").alias("_type"), F.col("selected_unit_cost").alias("_cost"),
+                        F.col("errors").alias("_errors"))
+    pack = packages.select("item_no", F.col("first_prod_date").alias("item_first_prod_date"), F.col("first_sale_date").alias("item_first_sale_date"),
+                           F.lit(True).alias("_pack"))
+    j = (components.join(kit, "kit_no").join(part, "item_no", "left").join(pack, "item_no", "left").join(dates, "kit_no", "left")
+         .join(unit_maps(item_uom), F.upper(F.col("item_no")) == F.col("_unit_item"), "left"))
+    j = j.withColumn("_rate", rate_to(F.col("units"), F.col("base_uom"), F.col("uom")))
+    own = F.col("_pack").isNull()
+    return j.select(
+        "kit_no", "kit_description", "kit_range", "cod_abcd", "kit_first_prod_date", "kit_first_sale_date", "item_no", "item_description", "item_type",
+        "factory", "item_family", "item_first_prod_date", "item_first_sale_date", "quantity_per", "uom", "length", "width", "height",
+        F.when(own, F.col("_type")).otherwise(F.lit("BOM")).alias("unit_cost_type"),
+        F.when(own, _converted(F.col("_cost"), F.col("_rate"))).alias("unit_cost"),
+        F.when(own, F.concat(F.col("_errors"), F.when(F.col("_rate") == -1, F.lit("BOM")).otherwise(F.lit("")))).alias("convert_errors"))

@@ -12,7 +12,7 @@ def named(df: DataFrame, dims: dict[str, tuple[Column, DataFrame]]) -> DataFrame
     """``df`` with a name for each output column: (key expression, dimension (code, name)). Codes without a row stay unnamed; a
     dimension has one row a code, so no row is repeated."""
     for i, (out, (key, dim)) in enumerate(dims.items()):
-        df = df.join(dim.select(F.col("code").alias(f"_c{i}"), F.col("name").alias(out)), key == F.col(f"_c{i}"), "left").drop(f"_c{i}")
+        df = df.join(dim.select(F.col("code").cast("string").alias(f"_c{i}"), F.col("name").alias(out)), key.cast("string") == F.col(f"_c{i}"), "left").drop(f"_c{i}")
     return df
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.exprs import unit_cost
-from ..operators.convert import with_uom_rate
+from ..operators.convert import assert_unique, with_uom_rate
 from ..operators.picks import latest_row
 from ..operators import stored
 from ..operators.upsert import upsert_newer
@@ -111,7 +111,10 @@ def uom_convert(t):
         F.col("l_partkey").cast("string").alias("item_no"),
         F.when(F.col("l_returnflag") == "R", F.lit("box")).otherwise(F.lit("UN")).alias("from_uom"),
         F.when(F.col("l_linestatus") == "O", F.lit("PAL")).otherwise(F.lit("Box")).alias("to_uom")).distinct()
-    out = with_uom_rate(req, "item_no", "from_uom", "to_uom", item_uom(t))
+    units = item_uom(t)
+    # two rows for one lookup are an error, as in the source
+    assert_unique(units.select(F.upper("item_no").alias("item"), F.upper("code").alias("code")), ["item", "code"], "unit of measure")
+    out = with_uom_rate(req, "item_no", "from_uom", "to_uom", units)
     return out.select("item_no", "from_uom", "to_uom", F.round(F.col("rate").cast("double"), 9).alias("rate"))
 
 

@@ -13,7 +13,7 @@ from ..sources import price_world as P
 from ..sources import version_world as V
 from .costs import COST_CTES, ITEM_UOM_SQL, item_uom, unit_cost_sql
 from .dated import world_sql
-from .registry import register
+from .registry import QUERIES, register
 
 _Q = "DECIMAL(18,9)"
 _TYPE, _COST = unit_cost_sql("estimate_cost", "nav_last_direct_cost", "nav_unit_cost", "nav_standard_cost", "last_purchase_price",
@@ -131,6 +131,11 @@ LEFT JOIN rpick r ON r.key = m.routing_no AND r.loc = coalesce(b.location, m.fac
 LEFT JOIN h_avg a ON a.source_no = m.production_bom_no LEFT JOIN h_date d ON d.item_no = m.item_no
 WHERE m.item_type LIKE 'PF%' AND m.production_bom_no IN (SELECT key FROM dcand)""")
 def package_headers_full(t):
+    out = headers(t)
+    return out.select(*_HEAD_TEXT, *[F.col(c).cast("double").alias(c) for c in _HEAD_NUMBER])
+
+
+def headers(t):
     """Finished packages (PF…) with a versioned BOM: versions of their factory, average order without simulated ones, first production and sale."""
     items = materialize(master(t), "item-master")
     boms, routes = materialize(V.bom_candidates(t), "masters"), materialize(V.routing_candidates(t), "masters")
@@ -142,5 +147,42 @@ def package_headers_full(t):
     own = join_versions(own, rt, placed(rt), F.col("routing_no"), F.coalesce("bom_location", "factory"), "_days", "route_version", "route_location")
     picked = own.select("item_no", "bom_version", "bom_location", "route_version", "route_location")
     ledger = D.item_ledger(t).select(F.col("item_no").cast("string").alias("item_no"), "posting_date", "entry_type")
-    out = ops.package_headers(items, picked, P.production_orders(t), ledger)
-    return out.select(*_HEAD_TEXT, *[F.col(c).cast("double").alias(c) for c in _HEAD_NUMBER])
+    return ops.package_headers(items, picked, P.production_orders(t), ledger)
+
+
+_KIT_TEXT = ("kit_no", "kit_description", "kit_range", "cod_abcd", "kit_first_prod_date", "kit_first_sale_date", "item_no", "item_description",
+             "item_type", "factory", "item_family", "item_first_prod_date", "item_first_sale_date", "uom", "unit_cost_type", "convert_errors")
+_KIT_NUMBER = ("quantity_per", "length", "width", "height", "unit_cost")
+_HEADS_CTES, _HEADS_SELECT = QUERIES["package_headers_full"].sql.rsplit("\nSELECT m.item_no,", 1)
+
+
+@register("kit_components_full", _HEADS_CTES + ",\npack AS (SELECT m.item_no," + _HEADS_SELECT + """),
+kit AS (
+  SELECT CAST(k.p_partkey AS VARCHAR) AS kit_no, CAST(i.p_partkey AS VARCHAR) AS item_no, CASE WHEN i.p_size % 5 = 0 THEN 'BOX' ELSE 'UN' END AS uom,
+         1 + k.p_partkey % 3 AS quantity_per
+  FROM part k JOIN part i ON i.p_partkey IN (k.p_partkey + 1, k.p_partkey + 2) WHERE k.p_type = 'PROMO'),
+kit_date AS (
+  SELECT CAST(l_partkey AS VARCHAR) AS kit_no, min(CAST(l_shipdate AS DATE)) FILTER (l_returnflag NOT IN ('R', 'A') AND l_linestatus != 'O') AS made,
+    min(CAST(l_shipdate AS DATE)) FILTER (l_returnflag = 'R') AS sold FROM lineitem GROUP BY ALL)
+SELECT kit.kit_no, k.description AS kit_description, k.range AS kit_range, k.cod_abcd, d.made AS kit_first_prod_date, d.sold AS kit_first_sale_date,
+  kit.item_no, i.description AS item_description, i.item_type, k.factory, i.technical_family AS item_family,
+  p.first_prod_date AS item_first_prod_date, p.first_sale_date AS item_first_sale_date, kit.uom,
+  CASE WHEN p.item_no IS NULL THEN i.unit_cost_type ELSE 'BOM' END AS unit_cost_type,
+  CASE WHEN p.item_no IS NULL THEN i.errors || CASE WHEN kit.uom != 'UN' AND coalesce(u.qty_per_uom, 0) = 0 THEN 'BOM' ELSE '' END END AS convert_errors,
+  CAST(kit.quantity_per AS DOUBLE) AS quantity_per, CAST(i.length AS DOUBLE) AS length, CAST(i.width AS DOUBLE) AS width, CAST(i.height AS DOUBLE) AS height,
+  CASE WHEN p.item_no IS NULL THEN CAST(CAST(CAST(i.selected_unit_cost AS DECIMAL(18,9)) *
+    CASE WHEN kit.uom = 'UN' OR coalesce(u.qty_per_uom, 0) = 0 THEN CAST(1 AS DECIMAL(18,9)) ELSE u.qty_per_uom END AS DECIMAL(15,5)) AS DOUBLE) END AS unit_cost
+FROM kit JOIN master k ON k.item_no = kit.kit_no LEFT JOIN master i ON i.item_no = kit.item_no LEFT JOIN pack p ON p.item_no = kit.item_no
+LEFT JOIN kit_date d ON d.kit_no = kit.kit_no LEFT JOIN item_uom u ON u.item_no = kit.item_no AND upper(u.code) = kit.uom""")
+def kit_components_full(t):
+    """Kit components with first assembly and sale of the kit, dates of component packages and converted unit costs."""
+    from .prices import kit_components
+    text = lambda c: F.col(c).cast("string").alias(c)
+    kits = kit_components(t).select(F.col("parent").cast("string").alias("kit_no"), F.col("item").cast("string").alias("item_no"), "quantity_per", "uom")
+    # what a kit puts out is assembled
+    assembled = t.part.filter("p_type = 'PROMO'").select(F.col("p_partkey").alias("item_no"), F.lit(True).alias("_kit"))
+    ledger = D.item_ledger(t).join(assembled, "item_no", "left").select(
+        text("item_no"), "posting_date",
+        F.when(F.col("_kit") & (F.col("entry_type") == D.ENTRY_OUTPUT), D.ENTRY_ASSEMBLY).otherwise(F.col("entry_type")).alias("entry_type"))
+    out = ops.kit_components(kits, materialize(master(t), "item-master"), headers(t), ledger, item_uom(t))
+    return out.select(*_KIT_TEXT, *[F.col(c).cast("double").alias(c) for c in _KIT_NUMBER])
