@@ -13,13 +13,17 @@ a marker of its own.
 
 Edge cases: null text is empty; a null role is empty; a null or empty part list is an empty
 turn; unknown kinds raise an error; turns of equal number keep a fixed order (role, content);
-a null conversation id forms one conversation; an empty table gives no rows.
+a null conversation id forms one conversation; repeated rows are turns of their own; other columns are dropped, whatever their
+names; an empty table gives no rows. The work grows with a conversation's characters; its string is one value, so a conversation is
+as long as a string may be (2 GB).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TURN, END, LINE, BREAK = "<|turn|>", "<|end|>", "<|line|>", "\n"
 PART = "struct<kind:string,text:string,ref:string,units:bigint>"
@@ -70,21 +74,14 @@ def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
         F.transform(files, lambda x: F.struct(x["kind"].alias("kind"), x["ref"].alias("ref"),
                                               expanded(x).alias("n_tokens"))).alias("files"))
     rows = rows.withColumn("head", F.concat(F.lit(TURN), F.replace(escape(F.col("role")), F.lit(BREAK), F.lit(LINE)), F.lit(BREAK)))
-    one = F.struct(
-        "t", "role", "content",
-        F.concat("head", "content", F.lit(END + BREAK)).alias("shown"),
-        F.length("head").alias("lead"), F.length("content").alias("len"), "files")
+    size = F.length("head") + F.length("content") + len(END + BREAK)
+    # a turn's place is a running sum over the turns before it; turns are never empty, so places also give the order
+    before = Window.partitionBy("conv_id").orderBy("t", "role", "content").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("at", F.sum(size).over(before) - size)
+    one = F.struct("at", F.concat("head", "content", F.lit(END + BREAK)).alias("shown"), F.col("role").isin(*learn).alias("learnt"),
+                   (F.col("at") + F.length("head")).alias("start"), F.length("content").cast("long").alias("length"), "files")
     turns = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("turns"))
-    spans = F.aggregate(
-        "turns",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("s")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["lead"] + x["len"] + len(END + BREAK)).alias("at"),
-            F.when(x["role"].isin(*learn),
-                   F.concat(acc["s"], F.array(F.struct((acc["at"] + x["lead"]).alias("start"),
-                                                       x["len"].cast("long").alias("length")))))
-            .otherwise(acc["s"]).alias("s")),
-        lambda acc: acc["s"])
+    spans = F.transform(F.filter("turns", lambda x: x["learnt"]), lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")))
     files = F.flatten(F.transform("turns", lambda x: x["files"]))
     return turns.select(
         "conv_id",
@@ -105,7 +102,9 @@ def parse(formatted: Column) -> Column:
         unescape(F.regexp_replace(b, r"\A<\|turn\|>[^\n]*\n", "")).alias("text")))
 
 
-def masked(formatted: Column, spans: Column) -> Column:
-    """The learnt texts, in order, unescaped and joined without separator."""
-    return F.array_join(F.transform(spans, lambda s: unescape(
-        F.substr(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+@F.pandas_udf(T.StringType())
+def masked(formatted: pd.Series, spans: pd.Series) -> pd.Series:
+    """The learnt texts, in order, unescaped and joined without separator. Each is cut out by its place, so the work grows with
+    the string (a substring expression would count its characters from the start for each span)."""
+    return pd.Series(["".join(text[s["start"]:s["start"] + s["length"]].replace("<\\", "<") for s in own)
+                      for text, own in zip(formatted, spans)], dtype=object)

@@ -276,6 +276,22 @@ def test_chat_parts_and_round_trip(spark):
     assert chat.format_chat(df.limit(0)).count() == 0
 
 
+def test_long_conversation_repeated_rows_and_clashing_columns(spark):
+    import time
+    n = 20_000
+    df = (spark.range(n).select(F.lit(5).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                                chat.text_part(F.concat(F.lit("<é "), F.col("id").cast("string"), F.lit(" word" * 20))).alias("parts"))
+          .withColumn("formatted", F.lit("old")).withColumn("spans", F.lit("old")).withColumn("head", F.lit("old")).withColumn("at", F.lit(1)))
+    df = df.unionByName(df.filter("turn = 1"))
+    t = time.time()
+    row = (chat.format_chat(df).withColumn("learnt", chat.masked(F.col("formatted"), F.col("spans")))
+           .select("n_turns", "learnt").first())
+    assert row.n_turns == n + 1
+    assert row.learnt == "".join(f"<é {i}" + " word" * 20 for i in sorted([*range(1, n, 2), 1]))
+    assert time.time() - t < 60
+
+
 # --- op5 -------------------------------------------------------------------------------------------------------------
 
 def brute_repeats(texts, length):
