@@ -56,13 +56,23 @@ def fold(doc_id, modulus: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(0)) % modulus
 
 
+OWN = "_own"
+
+
+def with_own(df: DataFrame) -> DataFrame:
+    """With a hash of each row. Taken before a join it lets ``bounded_sample`` count without the other columns, and its filter reaches
+    the side that the hash comes from, so that only chosen rows are joined whole."""
+    return df.withColumn(OWN, F.xxhash64(*df.columns, F.lit(17)))
+
+
 def bounded_sample(df: DataFrame, bound: int) -> DataFrame:
-    """About ``bound`` different rows chosen by a hash of all their columns (all if there are fewer), so a null or repeated id is
-    drawn row by row and a row that repeats counts once. Rows are counted and chosen by their hashes; only chosen ones are shuffled.
-    Used to fit models only; scores and counts run over all rows."""
-    own = F.xxhash64(*df.columns, F.lit(17))
-    n = df.agg(F.approx_count_distinct(own, 0.02)).first()[0]
+    """About ``bound`` different rows chosen by a hash of their columns (all if there are fewer), so a null or repeated id is
+    drawn row by row and a row that repeats counts once. Rows are counted and chosen by their hashes (column ``OWN`` if there); only
+    chosen ones are shuffled. Used to fit models only; scores and counts run over all rows."""
+    columns = [c for c in df.columns if c != OWN]
+    df = df if OWN in df.columns else with_own(df)
+    n = df.agg(F.approx_count_distinct(OWN, 0.02)).first()[0]
     if n > bound:
         parts = 1 << 30
-        df = df.filter(F.pmod(own, F.lit(parts)) < int(parts * bound / n))
-    return df.dropDuplicates()
+        df = df.filter(F.pmod(F.col(OWN), F.lit(parts)) < int(parts * bound / n))
+    return df.dropDuplicates(columns).select(*columns)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import linear
-from .tables import bounded_sample, documents, fold, read
+from .tables import OWN, bounded_sample, documents, fold, materialize, read, with_own
 from .textvec import BYTE_BASE, U, pieces, powers, prefix, raw
 
 GRAMS, BITS, FEATURES, FIT_ROWS, STRONG = (3, 4, 5), 18, 4000, 12000, 15.0
@@ -108,7 +108,9 @@ def select(neg, pos, n_neg: int, n_pos: int) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(df: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> tuple[np.ndarray, float]:
     """Weight of every bucket and bias, from labelled rows (label 0 or 1)."""
-    rows = bounded_sample(df.filter(F.col(label).isin(0, 1)).select(key, text, F.col(label).cast("int").alias(label)), FIT_ROWS).select(text, label)
+    own = [OWN] if OWN in df.columns else []
+    rows = df.filter(F.col(label).isin(0, 1)).select(key, text, F.col(label).cast("int").alias(label), *own)
+    rows = materialize(bounded_sample(rows, FIT_ROWS).select(text, label), "toxic-sample")
     neg, pos, n_neg, n_pos = class_counts(rows, text, label)
     weight = np.zeros(BUCKETS)
     if not n_neg or not n_pos:
@@ -157,5 +159,6 @@ def score(df: DataFrame, weight: np.ndarray, bias: float, text: str = "text") ->
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", (fold("doc_id", 5) == 0).alias("held_out"))
     labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
-    weight, bias = fit(docs.filter(~F.col("held_out")).join(labels, "doc_id"))
+    known = with_own(docs.filter(~F.col("held_out")).select("doc_id", "text"))
+    weight, bias = fit(known.join(labels, "doc_id"))
     return score(docs, weight, bias).select("doc_id", "held_out", "score", "predicted")
