@@ -132,3 +132,39 @@ def test_path_quantities_keep_each_product(spark):
                                   "bom_no string, item_no string, child_bom string, quantity_per int, unit string")
     out = explode.path_quantities(spark.createDataFrame([("S", "B1")], "seed string, bom_no string"), edges, ("unit",))
     assert sorted((r.item_no, int(r.qty), r.n, r.unit) for r in out.filter("level = 2").collect()) == [("W", 10, 2, "v"), ("W", 15, 1, "v")]
+
+
+def test_group_prices_reach_all_customers_in_slices(spark):
+    from costwise.operators.prices import to_group_customers
+    rows = spark.createDataFrame([(i, "G1", "EUR") for i in range(40)] + [(1, "G2", ""), (1, "G2", ""), (2, None, "")],
+                                 "item_no int, sales_code string, currency string")
+    cust = spark.createDataFrame([("a", "CF", "G1"), ("b", "CF", "G1"), ("c", "PJ", "G1"), ("d", "CF", "G2"), (None, "CF", "G2"), ("e", "CF", None)],
+                                 "customer_no string, customer_type string, price_group string")
+    out = to_group_customers(rows, cust)
+    want = sorted([(i, c) for i in range(40) for c in "ab"] + [(1, "d"), (1, "d"), (1, ""), (1, "")])
+    assert sorted((r.item_no, r.customer_no or "") for r in out.collect()) == want
+    assert "BroadcastExchange" not in out._jdf.queryExecution().toString()  # rows that grow with items and customers stay spread
+
+
+def test_price_expansion_multiplies_group_prices_last(spark):
+    """Picks, kits and divisions read the groups' prices; only their results meet the customers."""
+    from costwise.plans.prices import kit_division_df, last_price_parts
+    from costwise.sources.tables import Tables
+    t = Tables(spark, tempfile.mkdtemp(prefix="costwise-prices-", dir="/tmp"))
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{t.root}/{name}.parquet")
+    put("part", [(k, f"p{k}", "B", "PROMO" if k == 1 else "SMALL", 1, 9.0) for k in (1, 2, 3)],
+        "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    put("customer", [(k, f"c{k}", 7, 0.0, "AUTO") for k in (50, 100, 101)],
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    put("orders", [(1, 101, "O", 1.0, dt.datetime(1995, 1, 1), "1-URGENT")],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+    put("lineitem", [(1, k, 1, k, 1.0, 10.0 * k, 0.0, 0.0, "N", "O", dt.datetime(1995, 2, 1)) for k in (2, 3)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    put("supplier", [(1, "s", 1, 0.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
+    for name in ("region", "nation", "events"):
+        put(name, [(1,)], "k int")
+    parts = last_price_parts(t)
+    assert (parts["direct"].count(), parts["group"].count()) == (0, 2)
+    got = sorted((r.item_no, r.component_no, r.customer_code, float(r.price)) for r in kit_division_df(t).collect())
+    assert got == [(1, 2, "100", 40.0), (1, 2, "50", 40.0), (1, 3, "100", 60.0), (1, 3, "50", 60.0)]
