@@ -146,53 +146,52 @@ def link_keys(entries: DataFrame, relations: DataFrame) -> DataFrame:
                                                               lambda v: v.cast("string")), ",").alias("item_link"))
 
 
-def reconcile(entries: DataFrame, relations: DataFrame, parts: Sequence[str] = ("nonitem", "item", "gates")
-              ) -> dict[str, DataFrame]:
-    """Reconcile G/L entries of every posting day at once (posting date is in every key).
+KEYS = ["posting_date", "transaction_no"]
 
-    entries: posting_date, transaction_no, entry_no, account, source_type, source_no, debit, credit.
-    relations: gl_entry_no, value_entry_no.
-    Returns {'result': reconciliation rows, 'gates': balance-gate violations,
-             'links': per-entry link keys}. ``parts`` limits the work to the non-item
-    and/or item branch (the gates need both).
-    """
-    parts = set(parts)
-    if "gates" in parts:
-        parts |= {"nonitem", "item"}
-    keys = ["posting_date", "transaction_no"]
+
+def scoped(entries: DataFrame, relations: DataFrame) -> dict[str, DataFrame]:
+    """{'scope': entries with an amount and their link key, 'links': per-entry link keys}."""
     scope = entries.filter((F.col("debit") != 0) | (F.col("credit") != 0))
     links = materialize(link_keys(scope, relations), "gl-links")
-    s = materialize(scope.join(links, "entry_no", "left"), "gl-scope")
-    item_tx = s.filter(F.col("item_link").isNotNull()).select(*keys).distinct()
-    nonitem, item = s.join(item_tx, keys, "left_anti"), s.join(item_tx, keys, "left_semi")
-
-    empty = _raw_rows(s.filter(F.lit(False)), TIP_NONITEM_ERROR)
-    nonitem_rows, item_rows, rest1 = empty, empty, None
-    if "nonitem" in parts:
-        pairs = materialize(match_pairs(nonitem, keys, cap=True), "gl-pairs")
-        paired = _pair_rows(pairs, nonitem, keys, TIP_PAIR)
-        used = pairs.select(*keys, F.col("e1").alias("entry_no")).unionByName(
-            pairs.select(*keys, F.col("e2").alias("entry_no")))
-        rest1 = materialize(nonitem.join(used, keys + ["entry_no"], "left_anti"), "gl-rest")
-        d_rows, rest2 = _one_to_many(rest1, keys, "debit", "credit", TIP_1D_NC, TIP_NC_1D)
-        c_rows, rest3 = _one_to_many(rest2, keys, "credit", "debit", TIP_1C_ND, TIP_ND_1C)
-        nonitem_rows = (paired.unionByName(d_rows).unionByName(c_rows)
-                        .unionByName(_raw_rows(rest3, TIP_NONITEM_ERROR)).select(*OUT_COLS))
-    if "item" in parts:
-        linked = item.filter(F.col("item_link").isNotNull())
-        lkeys = keys + ["item_link"]
-        lpairs = materialize(match_pairs(linked, lkeys, cap=False), "gl-link-pairs")
-        lrows = _pair_rows(lpairs, linked, lkeys, TIP_ITEM_LINK, link=True)
-        lused = lpairs.select(*lkeys, F.col("e1").alias("entry_no")).unionByName(
-            lpairs.select(*lkeys, F.col("e2").alias("entry_no")))
-        item_err = _raw_rows(linked.join(lused, lkeys + ["entry_no"], "left_anti"), TIP_ITEM_ERROR, link=True)
-        item_rows = lrows.unionByName(item_err).select(*OUT_COLS)
-    result = nonitem_rows.unionByName(item_rows)
-    if "gates" in parts:
-        # the gates read the staged rows, and so does who publishes them: the result is computed once
-        result = materialize(result, "gl-staged")
-    if "gates" not in parts:
-        return {"result": result, "gates": None, "links": links}
+    return {"scope": materialize(scope.join(links, "entry_no", "left"), "gl-scope"), "links": links}
+
+
+def _branches(s: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries of transactions without item links, and of those with."""
+    item_tx = s.filter(F.col("item_link").isNotNull()).select(*KEYS).distinct()
+    return s.join(item_tx, KEYS, "left_anti"), s.join(item_tx, KEYS, "left_semi")
+
+
+def nonitem_branch(s: DataFrame) -> dict[str, DataFrame]:
+    """{'rows': reconciliation rows of transactions without item links, 'rest': their entries without a pair}."""
+    keys, (nonitem, _) = KEYS, _branches(s)
+    pairs = materialize(match_pairs(nonitem, keys, cap=True), "gl-pairs")
+    paired = _pair_rows(pairs, nonitem, keys, TIP_PAIR)
+    used = pairs.select(*keys, F.col("e1").alias("entry_no")).unionByName(
+        pairs.select(*keys, F.col("e2").alias("entry_no")))
+    rest1 = materialize(nonitem.join(used, keys + ["entry_no"], "left_anti"), "gl-rest")
+    d_rows, rest2 = _one_to_many(rest1, keys, "debit", "credit", TIP_1D_NC, TIP_NC_1D)
+    c_rows, rest3 = _one_to_many(rest2, keys, "credit", "debit", TIP_1C_ND, TIP_ND_1C)
+    rows = (paired.unionByName(d_rows).unionByName(c_rows)
+            .unionByName(_raw_rows(rest3, TIP_NONITEM_ERROR)).select(*OUT_COLS))
+    return {"rows": rows, "rest": rest1}
+
+
+def item_branch(s: DataFrame) -> DataFrame:
+    """Reconciliation rows of the linked entries."""
+    linked = _branches(s)[1].filter(F.col("item_link").isNotNull())
+    lkeys = KEYS + ["item_link"]
+    lpairs = materialize(match_pairs(linked, lkeys, cap=False), "gl-link-pairs")
+    lrows = _pair_rows(lpairs, linked, lkeys, TIP_ITEM_LINK, link=True)
+    lused = lpairs.select(*lkeys, F.col("e1").alias("entry_no")).unionByName(
+        lpairs.select(*lkeys, F.col("e2").alias("entry_no")))
+    item_err = _raw_rows(linked.join(lused, lkeys + ["entry_no"], "left_anti"), TIP_ITEM_ERROR, link=True)
+    return lrows.unionByName(item_err).select(*OUT_COLS)
+
+
+def balance_gates(s: DataFrame, rest1: DataFrame, result: DataFrame) -> DataFrame:
+    """Violations of the seven balance gates by the entries in scope, those without a pair and the written result."""
+    keys, (nonitem, item) = KEYS, _branches(s)
 
     def unbalanced(df, gate):
         return (df.groupBy(*keys).agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
@@ -207,15 +206,41 @@ def reconcile(entries: DataFrame, relations: DataFrame, parts: Sequence[str] = (
 
     nonitem_tips = [TIP_PAIR, TIP_1D_NC, TIP_NC_1D, TIP_1C_ND, TIP_ND_1C, TIP_NONITEM_ERROR]
     unlinked = item.filter(F.col("item_link").isNull())
-    gates = (unbalanced(rest1, "non-item remainder unbalanced")
-             .unionByName(unbalanced(result.filter(F.col("tip").isin(nonitem_tips)), "non-item result unbalanced"))
-             .unionByName(unbalanced(item, "item transactions unbalanced"))
-             .unionByName(unlinked.groupBy(*keys).agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
-                          .select(F.lit("entries without link").alias("gate"), *keys, "debit", "credit"))
-             .unionByName(unbalanced(result.filter(~F.col("tip").isin(nonitem_tips)), "item result unbalanced"))
-             .unionByName(left(nonitem, "non-item entries left"))
-             .unionByName(left(s, "entries left")))
-    return {"result": result, "gates": gates, "links": links}
+    return (unbalanced(rest1, "non-item remainder unbalanced")
+            .unionByName(unbalanced(result.filter(F.col("tip").isin(nonitem_tips)), "non-item result unbalanced"))
+            .unionByName(unbalanced(item, "item transactions unbalanced"))
+            .unionByName(unlinked.groupBy(*keys).agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
+                         .select(F.lit("entries without link").alias("gate"), *keys, "debit", "credit"))
+            .unionByName(unbalanced(result.filter(~F.col("tip").isin(nonitem_tips)), "item result unbalanced"))
+            .unionByName(left(nonitem, "non-item entries left"))
+            .unionByName(left(s, "entries left")))
+
+
+def reconcile(entries: DataFrame, relations: DataFrame, parts: Sequence[str] = ("nonitem", "item", "gates")
+              ) -> dict[str, DataFrame]:
+    """Reconcile G/L entries of every posting day at once (posting date is in every key).
+
+    entries: posting_date, transaction_no, entry_no, account, source_type, source_no, debit, credit.
+    relations: gl_entry_no, value_entry_no.
+    Returns {'result': reconciliation rows, 'gates': balance-gate violations,
+             'links': per-entry link keys}. ``parts`` limits the work to the non-item
+    and/or item branch (the gates need both).
+    """
+    parts = set(parts)
+    if "gates" in parts:
+        parts |= {"nonitem", "item"}
+    s, links = scoped(entries, relations).values()
+    result = _raw_rows(s.filter(F.lit(False)), TIP_NONITEM_ERROR)
+    if "nonitem" in parts:
+        rows, rest1 = nonitem_branch(s).values()
+        result = result.unionByName(rows)
+    if "item" in parts:
+        result = result.unionByName(item_branch(s))
+    if "gates" not in parts:
+        return {"result": result, "gates": None, "links": links}
+    # the gates read the staged rows, and so does who publishes them: the result is computed once
+    result = materialize(result, "gl-staged")
+    return {"result": result, "gates": balance_gates(s, rest1, result), "links": links}
 
 
 class UnbalancedError(ValueError):

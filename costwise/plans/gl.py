@@ -132,16 +132,30 @@ _SEL = ("SELECT posting_date, tip, transaction_no, entry_no, account, bal_entry_
 
 
 def reconciled(t, what: str):
-    """``result``, ``gates`` or ``links`` of the reconciliation of all days: one run for all queries that read it."""
-    def run():
+    """``result``, ``gates`` or ``links`` of the reconciliation of all days, or its ``nonitem`` or ``item`` rows. Each step is run once for
+    all queries that read it, and none that a query does not read."""
+    def scoped():
         gl = materialize(D.gl_entries(t), "gl-entries")
-        return R.reconcile(gl, D.gl_item_relations(gl))
+        return R.scoped(gl, D.gl_item_relations(gl))
 
-    return t.shared(f"gl/{what}", run)
+    if what == "links":
+        return t.shared("gl-scope/links", scoped)
+    scope = t.shared("gl-scope/scope", scoped)
+    nonitem = lambda member: t.shared(f"gl-nonitem/{member}", lambda: R.nonitem_branch(scope))
+    if what == "nonitem":
+        return nonitem("rows")
+    item = t.shared("gl-item", lambda: R.item_branch(scope))
+    if what == "item":
+        return item
+    result = nonitem("rows").unionByName(item)
+    return result if what == "result" else t.shared("gl-gates", lambda: R.balance_gates(scope, nonitem("rest"), result))
+
+
+ITEM_TIPS = {R.TIP_ITEM_LINK, R.TIP_ITEM_ERROR}
 
 
 def _result(t, tips):
-    r = reconciled(t, "result").filter(F.col("tip").isin(list(tips)))
+    r = reconciled(t, "item" if ITEM_TIPS >= set(tips) else "nonitem").filter(F.col("tip").isin(list(tips)))
     return r.withColumn("debit", F.col("debit").cast("double")).withColumn("credit", F.col("credit").cast("double"))
 
 

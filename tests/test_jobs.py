@@ -146,11 +146,10 @@ def test_group_prices_reach_all_customers_in_slices(spark):
     assert "BroadcastExchange" not in out._jdf.queryExecution().toString()  # rows that grow with items and customers stay spread
 
 
-def test_price_expansion_multiplies_group_prices_last(spark):
-    """Picks, kits and divisions read the groups' prices; only their results meet the customers."""
-    from costwise.plans.prices import kit_division_df, last_price_parts
+def hand_tables(spark):
+    """Three parts (one is a kit of the others), three customers and an order over the components."""
     from costwise.sources.tables import Tables
-    t = Tables(spark, tempfile.mkdtemp(prefix="costwise-prices-", dir="/tmp"))
+    t = Tables(spark, tempfile.mkdtemp(prefix="costwise-hand-", dir="/tmp"))
     put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{t.root}/{name}.parquet")
     put("part", [(k, f"p{k}", "B", "PROMO" if k == 1 else "SMALL", 1, 9.0) for k in (1, 2, 3)],
         "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
@@ -162,9 +161,69 @@ def test_price_expansion_multiplies_group_prices_last(spark):
         "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
         "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
     put("supplier", [(1, "s", 1, 0.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
-    for name in ("region", "nation", "events"):
+    put("nation", [(k, f"n{k}", 0) for k in (1, 2)], "n_nationkey int, n_name string, n_regionkey int")
+    for name in ("region", "events"):
         put(name, [(1,)], "k int")
+    return t
+
+
+def test_price_expansion_multiplies_group_prices_last(spark):
+    """Picks, kits and divisions read the groups' prices; only their results meet the customers."""
+    from costwise.plans.prices import kit_division_df, last_price_parts
+    t = hand_tables(spark)
     parts = last_price_parts(t)
     assert (parts["direct"].count(), parts["group"].count()) == (0, 2)
     got = sorted((r.item_no, r.component_no, r.customer_code, float(r.price)) for r in kit_division_df(t).collect())
     assert got == [(1, 2, "100", 40.0), (1, 2, "50", 40.0), (1, 3, "100", 60.0), (1, 3, "50", 60.0)]
+
+
+def test_kit_components_build_the_item_master_once(spark, monkeypatch):
+    from costwise.plans import masters
+    built, master = [], masters.master
+    monkeypatch.setattr(masters, "master", lambda t: built.append(1) or master(t))
+    rows = masters.kit_components_full(hand_tables(spark)).collect()
+    assert sorted((r.kit_no, r.item_no) for r in rows) == [("1", "2"), ("1", "3")] and len(built) == 1
+
+
+def test_explosion_sends_no_side_through_the_driver(spark):
+    line = spark.createDataFrame([("B1", "2", "B2")], "bom_no string, item_no string, child_bom string").withColumn("quantity_per", F.lit(2).cast("decimal(18,9)"))
+    side = explode._spread(line)
+    joined = line.withColumnRenamed("bom_no", "b").join(side, F.col("b") == F.col("bom_no"))
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ledger_queries_run_the_steps_they_read(spark, monkeypatch):
+    """Item rows need no non-item pairing, and neither needs the gates; all steps together give what one reconciliation gives."""
+    from costwise.plans import gl
+    d, n = day("2020-01-01"), D(0)
+    entries = spark.createDataFrame(
+        [(d, 1, 1, "61", 1, "a", D(5), n), (d, 1, 2, "71", 0, "", n, D(5)), (d, 2, 3, "61", 1, "a", D(5), n), (d, 2, 4, "71", 0, "", n, D(4)),
+         (d, 3, 5, "61", 1, "a", D(3), n), (d, 3, 6, "62", 1, "a", D(4), n)],
+        "posting_date date, transaction_no long, entry_no long, account string, source_type int, source_no string, debit decimal(18,2), credit decimal(18,2)")
+    relations = spark.createDataFrame([(3, 8), (4, 8)], "gl_entry_no long, value_entry_no long")
+    monkeypatch.setattr(gl.D, "gl_entries", lambda t: entries)
+    monkeypatch.setattr(gl.D, "gl_item_relations", lambda e: relations)
+
+    class Steps(dict):
+        def shared(self, name, build):
+            group, _, member = name.partition("/")
+            if group not in self:
+                made = build()
+                self[group] = made if isinstance(made, dict) else {"": made}
+            return self[group][member]
+
+    t = Steps()
+    assert sorted(r.entry_no for r in gl.gl_item_errors(t).collect()) == [3, 4] and set(t) == {"gl-scope", "gl-item"}
+    t = Steps()
+    assert sorted(r.entry_no for r in gl.gl_errors(t).collect()) == [5, 6] and set(t) == {"gl-scope", "gl-nonitem"}
+    whole = reconcile.reconcile(entries, relations)
+    for what in ("result", "gates", "links"):
+        assert sorted(map(str, gl.reconciled(t, what).collect())) == sorted(map(str, whole[what].collect()))
+
+
+def test_shared_views_keep_what_is_written(spark):
+    from costwise.session import materialize
+    t = hand_tables(spark)
+    kept = materialize(spark.range(3), "kept")
+    assert t.shared("kept-test", lambda: kept).inputFiles() == kept.inputFiles()
+    assert t.shared("made-test", lambda: kept.filter("id > 0")).inputFiles() != kept.inputFiles()
