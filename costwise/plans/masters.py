@@ -100,6 +100,11 @@ def master(t):
                            P.dimensions(t))
 
 
+def written_master(t):
+    """The item master, built once for the jobs and steps that read it."""
+    return t.shared("item-master", lambda: master(t))
+
+
 @register("item_master_full", "WITH " + COST_CTES + "," + ITEM_UOM_SQL + "," + MASTER_CTES + _sql(_TEXT, _NUMBER, "master"))
 def item_master_full(t):
     """Item master with factories, dimensions, converted estimate, legacy, purchase and sales prices in home currency, and error tags."""
@@ -137,7 +142,7 @@ def package_headers_full(t):
 
 def headers(t):
     """Finished packages (PF…) with a versioned BOM: versions of their factory, average order without simulated ones, first production and sale."""
-    items = materialize(master(t), "item-master")
+    items = written_master(t)
     boms, routes = materialize(V.bom_candidates(t), "masters"), materialize(V.routing_candidates(t), "masters")
     days = F.array(F.lit(W.AS_OF).cast("date"))
     bt, rt = version_timeline(boms, [W.AS_OF]), version_timeline(routes, [W.AS_OF])
@@ -184,5 +189,5 @@ def kit_components_full(t):
     ledger = D.item_ledger(t).join(assembled, "item_no", "left").select(
         text("item_no"), "posting_date",
         F.when(F.col("_kit") & (F.col("entry_type") == D.ENTRY_OUTPUT), D.ENTRY_ASSEMBLY).otherwise(F.col("entry_type")).alias("entry_type"))
-    out = ops.kit_components(kits, materialize(master(t), "item-master"), headers(t), ledger, item_uom(t))
+    out = ops.kit_components(kits, written_master(t), headers(t), ledger, item_uom(t))
     return out.select(*_KIT_TEXT, *[F.col(c).cast("double").alias(c) for c in _KIT_NUMBER])
