@@ -6,40 +6,72 @@ are summed. Items are independent, and a converged item is a fixed point, so the
 global loop (stop when no bucket <= 0 is left anywhere, at most ``months + 1``
 rounds) equals running each item on its own.
 
-One row per item holds its buckets as a sorted array; an item has at most one
-bucket per month of the period, so the array is bounded by the period length, not
-by the data volume. A round is a JVM-side higher-order expression (no Python);
-rounds run in batches between materialisations with an early stop.
+One row per item holds its buckets as sorted arrays; an item has at most one
+bucket per month of the period, so the arrays are bounded by the period length, not
+by the data volume. All rounds run in one pass over batches of items: numpy rounds on
+the batch's buckets laid end to end, in whole cents; an item that has no bucket <= 0
+left takes no part in further rounds.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import stored
 
-_B = "struct<m:date,q:decimal(18,2),c:decimal(18,2)>"
 
-_DROP_ZERO = "filter(b, x -> x.q != 0)"
-
-# one round on the non-zero buckets ``f`` (sorted by month): move, re-sort, merge equal months
-_ROUND = f"""
-aggregate(
-  array_sort(transform(f, (x, i) -> named_struct(
-    'm', CASE WHEN x.q <= 0 AND i > 0 THEN element_at(f, i).m
-              WHEN x.q <= 0 THEN coalesce(try_element_at(f, i + 2).m, x.m)
-              ELSE x.m END,
-    'q', x.q, 'c', x.c))),
-  cast(array() as array<{_B}>),
-  (acc, x) -> CASE WHEN size(acc) > 0 AND element_at(acc, -1).m = x.m THEN
-      concat(slice(acc, 1, size(acc) - 1), array(named_struct('m', x.m,
-        'q', cast(element_at(acc, -1).q + x.q as decimal(18,2)),
-        'c', cast(coalesce(element_at(acc, -1).c + x.c, element_at(acc, -1).c, x.c) as decimal(18,2)))))
-    ELSE concat(acc, array(x)) END)"""
+def _ager(max_rounds: int):
+    """The rounds over batches (item_no, m, q, c): days, cents and cents of an item's buckets as arrays sorted by day; gives the final
+    buckets, one a row. One closure, so that it travels to the tasks whole."""
+
+    def one_round(g, m, q, c, known):
+        """Buckets sorted by item ``g`` and day ``m``; ``known`` marks those with a cost (``c`` is 0 without one)."""
+        kept = q != 0
+        g, m, q, c, known = g[kept], m[kept], q[kept], c[kept], known[kept]
+        if not len(g):
+            return g, m, q, c, known
+        same = g[1:] == g[:-1]
+        after, before = np.append(False, same), np.append(same, False)  # has a previous, a next bucket
+        moved, neg = m.copy(), q <= 0
+        to = np.flatnonzero(neg & after)
+        moved[to] = m[to - 1]
+        to = np.flatnonzero(neg & ~after & before)
+        moved[to] = m[to + 1]
+        order = np.lexsort((moved, g))
+        g, m, q, c, known = g[order], moved[order], q[order], c[order], known[order]
+        at = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (m[1:] != m[:-1])))
+        return g[at], m[at], np.add.reduceat(q, at), np.add.reduceat(c, at), np.logical_or.reduceat(known, at)
+
+    def all_rounds(items, buckets):
+        done = []
+        for _ in range(max_rounds):
+            buckets = one_round(*buckets)
+            open_items = np.zeros(items, dtype=bool)
+            open_items[buckets[0][buckets[2] <= 0]] = True
+            still = open_items[buckets[0]]
+            done.append(tuple(x[~still] for x in buckets))  # converged items are fixed points
+            buckets = tuple(x[still] for x in buckets)
+            if not len(buckets[0]):
+                break
+        return tuple(np.concatenate(x) for x in zip(*done, buckets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            item, m, q, c = batch.columns
+            cost = c.flatten()
+            g, m, q, c, known = all_rounds(len(item), (
+                np.repeat(np.arange(len(item)), np.diff(m.offsets.to_numpy())), m.flatten().to_numpy(), q.flatten().to_numpy(),
+                cost.fill_null(0).to_numpy(zero_copy_only=False), cost.is_valid().to_numpy(zero_copy_only=False)))
+            yield pa.RecordBatch.from_arrays([item.take(pa.array(g)), pa.array(m), pa.array(q), pa.array(c, mask=~known)],
+                                             names=["item_no", "m", "q", "c"])
+
+    return run
 
 
 def month_buckets(moves: DataFrame, start_date: str) -> DataFrame:
@@ -58,30 +90,21 @@ def entry_costs(ledger: DataFrame, values: DataFrame) -> DataFrame:
     return ledger.join(sums, "entry_no", "left")
 
 
-def age_stock(buckets: DataFrame, max_rounds: int, batch: int = 12) -> DataFrame:
+def age_stock(buckets: DataFrame, max_rounds: int) -> DataFrame:
     """Run the ageing rounds on (item_no, month, quantity, cost) buckets; items with a
     non-positive total are dropped first. Returns the final buckets."""
-    totals = buckets.groupBy("item_no").agg(F.sum("quantity").alias("_t")).filter(F.col("_t") > 0).select("item_no")
-    b = buckets.join(totals, "item_no", "left_semi")
-    arr = b.groupBy("item_no").agg(F.array_sort(F.collect_list(
-        F.struct(F.col("month").alias("m"), F.col("quantity").alias("q"), F.col("cost").alias("c")))).alias("b"))
-    done_rounds, finished = 0, []
-    while done_rounds < max_rounds:
-        step = min(batch, max_rounds - done_rounds)
-        for _ in range(step):
-            # two projections so the filtered array is computed once per round, not per element
-            arr = arr.select("item_no", F.expr(_DROP_ZERO).alias("f")).select("item_no", F.expr(_ROUND).alias("b"))
-        done_rounds += step
-        # converged items are fixed points: set them aside, keep rounding only the open ones
-        arr = materialize(arr.withColumn("_open", F.exists("b", lambda x: x["q"] <= 0)), "ageing")
-        finished.append(arr.filter(~F.col("_open")).drop("_open"))
-        arr = arr.filter(F.col("_open")).drop("_open")
-        if arr.limit(1).count() == 0:
-            break
-    finished.append(arr)
-    arr = reduce(lambda a, b: a.unionByName(b), finished)
-    return arr.select("item_no", F.inline("b")).select(
-        "item_no", F.col("m").alias("month"), F.col("q").alias("quantity"), F.col("c").alias("cost"))
+    cents = lambda c: (F.col(c).cast("decimal(18,2)") * 100).cast("long")
+    amount = lambda c: (F.col(c).cast("decimal(19,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
+    # buckets without a quantity only count for their item's total, as those of zero
+    bucket = F.when(F.col("quantity").isNotNull(), F.struct(
+        F.unix_date("month").cast("long").alias("m"), cents("quantity").alias("q"), cents("cost").alias("c")))
+    arr = (buckets.filter(F.col("item_no").isNotNull()).groupBy("item_no")
+           .agg(F.sum("quantity").alias("_t"), F.array_sort(F.collect_list(bucket)).alias("b")).filter(F.col("_t") > 0)
+           .select("item_no", *[F.col(f"b.{x}").alias(x) for x in "mqc"]))
+    item = buckets.schema["item_no"].dataType.simpleString()
+    aged = arr.mapInArrow(_ager(max_rounds), f"item_no {item}, m long, q long, c long")
+    return aged.select("item_no", F.date_from_unix_date(F.col("m").cast("int")).alias("month"), amount("q").alias("quantity"),
+                       amount("c").alias("cost"))
 
 
 def add_moves(moves: DataFrame, path: str, start_date: str, max_rounds: int, parts: int) -> None:

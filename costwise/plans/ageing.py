@@ -70,11 +70,13 @@ def valued_moves(t):
     l = D.entry_numbered(t.lineitem.join(t.part.filter(F.col("p_type").isin(list(GROUPS))).select("p_partkey"),
                                          F.col("l_partkey") == F.col("p_partkey"), "left_semi"))
     sign = F.when(F.col("l_returnflag") == "R", F.lit(-1)).otherwise(F.lit(1))
-    ledger = l.select("entry_no", F.col("l_partkey").alias("item_no"), F.col("l_shipdate").cast("date").alias("posting_date"),
-                      (sign * F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"), "l_suppkey")
+    # ledger and value entries both read the numbered lines: numbered once
+    l = materialize(l.select("entry_no", F.col("l_partkey").alias("item_no"), F.col("l_shipdate").cast("date").alias("posting_date"),
+                             (sign * F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"), "l_suppkey",
+                             (sign * F.col("l_extendedprice").cast("decimal(18,2)")).alias("price")), "numbered-lines")
+    ledger = l.drop("price")
     n = (F.col("l_suppkey") % 3).cast("int")
-    values = l.filter(n > 0).select("entry_no", F.explode(F.sequence(F.lit(1), n)).alias("k"),
-                                    (sign * F.col("l_extendedprice").cast("decimal(18,2)")).alias("price"))
+    values = l.filter(n > 0).select("entry_no", F.explode(F.sequence(F.lit(1), n)).alias("k"), "price")
     return entry_costs(ledger, values.select("entry_no", (F.col("price") * F.col("k")).alias("cost")))
 
 

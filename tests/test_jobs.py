@@ -113,6 +113,34 @@ def test_months_added_to_an_ageing_equal_one_run(spark):
     assert stored.manifest(spark, f"{path}/raw")[0] == 2
 
 
+def test_ageing_runs_all_rounds_in_one_pass(spark, monkeypatch):
+    rng = random.Random(9)
+    cells = {(i, k): (None if rng.random() < 0.05 else D(rng.randint(-400, 450)) / 100, None if rng.random() < 0.2 else D(rng.randint(-9, 90)))
+             for i in (*range(150), None) for k in rng.sample(range(24), rng.randint(1, 24))}
+    month = lambda k: dt.date(2020 + k // 12, k % 12 + 1, 1)
+    rows = spark.createDataFrame([(i, month(k), *v) for (i, k), v in cells.items()],
+                                 "item_no int, month date, quantity decimal(18,2), cost decimal(18,2)")
+
+    def plain(item, most):
+        b = sorted((k, *v) for (i, k), v in cells.items() if i == item)
+        if sum(q or 0 for _, q, _ in b) <= 0:
+            return []
+        for _ in range(most):
+            b, out = [x for x in b if x[1]], {}
+            for n, (k, q, c) in enumerate(b):
+                to = k if q > 0 else b[n - 1][0] if n else b[1][0] if len(b) > 1 else k
+                was_q, was_c = out.get(to, (0, None))
+                out[to] = (was_q + q, c if was_c is None else was_c if c is None else was_c + c)
+            b = sorted((k, *v) for k, v in out.items())
+        return [(item, month(k), q, c) for k, q, c in b]
+
+    # all rounds are one pass over the items: no round is written and read back
+    monkeypatch.setattr(ageing, "materialize", lambda *a: (_ for _ in ()).throw(AssertionError("written")))
+    for most in (1, 3, 40):
+        got = sorted((r.item_no, r.month, r.quantity, r.cost) for r in ageing.age_stock(rows, most).collect())
+        assert got == [x for i in range(150) for x in plain(i, most)] and len(got) > 300
+
+
 def test_entry_costs_sum_the_value_entries(spark):
     ledger = spark.createDataFrame([(1,), (2,)], "entry_no long")
     values = spark.createDataFrame([(1, D("1.005")), (1, D("2")), (9, D(1))], "entry_no long, cost decimal(18,3)")
