@@ -220,6 +220,25 @@ def test_explosion_sends_no_side_through_the_driver(spark):
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def test_explosion_lays_out_its_sides_once(spark, monkeypatch):
+    """A level shuffles its own rows only: the sides that it joins are kept as the join needs them; the timelines are built once."""
+    line = spark.createDataFrame([("B1", "_null", "2")], "_l_bom string, _l_vkey string, _l_item string")
+    side = explode._laid(line, "_l_bom", "_l_vkey")
+    at = spark.createDataFrame([("B1", "_null")], "bom_no string, v string")
+    joined = at.join(explode._spread(side), (F.col("bom_no") == F.col("_l_bom")) & (F.col("v") == F.col("_l_vkey")))
+    plan = joined._jdf.queryExecution().executedPlan()
+    above = plan.toString().split("InMemoryRelation")[0]
+    assert joined.count() == 1 and "InMemoryTableScan" in above and above.count("Exchange") == 1
+    side.unpersist()
+
+    from costwise.plans import dated
+    t, built, timeline = hand_tables(spark), [], dated.version_timeline
+    monkeypatch.setattr(dated, "version_timeline", lambda *a: built.append(1) or timeline(*a))
+    monkeypatch.setattr(explode, "version_timeline", lambda *a: built.append(1) or timeline(*a))
+    dated.dated_explosion(t, ["2000-01-01"])
+    assert len(built) == 2
+
+
 def test_ledger_queries_run_the_steps_they_read(spark, monkeypatch):
     """Item rows need no non-item pairing, and neither needs the gates; all steps together give what one reconciliation gives."""
     from costwise.plans import gl
