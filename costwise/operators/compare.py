@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .picks import latest_row
 
 _AMOUNT, _ORDER_QTY = "decimal(38,9)", "decimal(12,2)"
@@ -22,9 +23,9 @@ def match_orders(packages: DataFrame, order_lines: DataFrame, unusable: DataFram
     """
     code = F.when(F.col("version_code") != "", F.col("version_code"))
     lines = (order_lines.filter(F.col("order_no").startswith(prefix) & (F.col("line_no") == line_no) & (F.col("status") >= least_status))
-             .join(unusable.select("order_no").distinct(), "order_no", "left_anti"))
+             .join(spread(unusable.select("order_no").distinct()), "order_no", "left_anti"))
     p = packages.select("root_item", "bom_no", "bom_description", "bom_version")
-    j = lines.join(p, "bom_no")
+    j = lines.join(spread(p), "bom_no")
     far = F.when(code.eqNullSafe(F.col("bom_version")), 0).otherwise(1)
     best = latest_row(j, ["root_item"], [F.col("status").asc(), far.asc(), F.col("order_no").asc(), F.col("quantity").desc(),
                                          F.col("version_code").asc_nulls_first()])
@@ -50,9 +51,9 @@ def bom_vs_order(orders: DataFrame, parts: DataFrame, operations: DataFrame, ord
         return (df.groupBy("root_item", item.alias("item_no"), uom.alias("uom")).agg(F.sum(amount.cast(_AMOUNT)).alias("qty"))
                 .select("root_item", F.lit(source).alias("source"), F.lit(kind).alias("type"), "item_no", "uom", "qty"))
 
-    keys = orders.select("root_item", "order_no", "order_qty")
+    keys = spread(orders.select("root_item", "order_no", "order_qty"))
     work = operations.join(keys, "order_no").join(
-        order_lines.select("order_no", F.col("line_no").alias("routing_ref"), "routing_no", F.col("item_no").alias("_item")),
+        spread(order_lines.select("order_no", F.col("line_no").alias("routing_ref"), "routing_no", F.col("item_no").alias("_item"))),
         ["order_no", "routing_ref", "routing_no"], "left")
     made = components.filter("level != 0").join(keys, "root_item")
     time = (F.col("setup_time") + (F.col("run_time") * F.col("quantity_w_scrap")).cast("decimal(24,9)") * F.col("order_qty")).cast("decimal(30,9)")
@@ -63,7 +64,7 @@ def bom_vs_order(orders: DataFrame, parts: DataFrame, operations: DataFrame, ord
     bought = (F.col("item_type") == "MAT_PRIMA") | (F.coalesce(F.length("production_bom_no"), F.lit(0)) == 0)
     cost = F.coalesce(F.col("estimate_cost"), F.greatest("nav_unit_cost", "nav_standard_cost", "nav_last_direct_cost"))
     facts = items.select("item_no", "description", "item_type", F.when(bought, cost).alias("_cost"))
-    return (out.join(orders, "root_item").join(facts, "item_no", "left")
+    return (out.join(spread(orders), "root_item").join(spread(facts), "item_no", "left")
             .select(*ORDER_COLUMNS, "source", "type", "item_no", "description", "item_type", "uom", F.round("qty", 5).alias("expect_qty"),
                     F.when(F.col("type") == "Component", F.col("_cost")).alias("unit_cost")))
 

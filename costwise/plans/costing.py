@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.explode import explode_routes, null_leaf_costs
+from ..session import spread
 from ..sources import driver as D
 from .bom import BOM_WORLD_SQL, _components
 from .registry import register
@@ -92,19 +93,19 @@ def actual(t, listed=None, excluded=None):
         F.col("o_orderkey").alias("order_no"),
         F.concat(F.lit("L"), (F.col("o_custkey") % 4).cast("string")).alias("location_code"))
     pfs = (il.filter((F.col("entry_type") == D.ENTRY_OUTPUT) & (F.col("posting_date") >= F.lit(SINCE).cast("date")))
-           .select("order_no", "item_no").join(pf, "item_no").join(closed, "order_no").distinct())
-    pfs = pfs if listed is None else pfs.join(listed, "item_no", "left_semi")
-    pfs = pfs if excluded is None else pfs.join(excluded, "order_no", "left_anti")
+           .select("order_no", "item_no").join(spread(pf), "item_no").join(spread(closed), "order_no").distinct())
+    pfs = pfs if listed is None else pfs.join(spread(listed), "item_no", "left_semi")
+    pfs = pfs if excluded is None else pfs.join(spread(excluded), "order_no", "left_anti")
     ords = (il.filter((F.col("order_line_no") == 1) & (F.col("entry_type") == D.ENTRY_OUTPUT))
-            .join(pfs, ["order_no", "item_no"])
+            .join(spread(pfs), ["order_no", "item_no"])
             .groupBy("order_no", F.col("item_no").alias("source_no"), F.col("item_name").alias("source_name"), "range",
                      "location_code")
             .agg(F.round(F.sum("quantity"), 0).alias("output"), F.max("posting_date").alias("last_output")))
-    ords = t.derived("finished_orders", lambda: ords)
+    ords = spread(t.derived("finished_orders", lambda: ords))
     items = part.select(F.col("p_partkey").alias("item_no"), F.col("p_name").alias("item_name"),
                         F.col("p_type").alias("posting_group"))
     head = ["order_no", "source_no", "source_name", "range", "output", "last_output", "location_code"]
-    cons = (il.join(ords, "order_no").filter(F.col("item_no") != F.col("source_no")).join(items, "item_no", "left")
+    cons = (il.join(ords, "order_no").filter(F.col("item_no") != F.col("source_no")).join(spread(items), "item_no", "left")
             .groupBy(*head, "item_no", "item_name", "posting_group", "entry_type")
             .agg(F.round(-1 * F.sum("quantity"), 2).alias("quantity"), F.round(F.sum(-1 * F.col("cost_amount")), 2)
                  .alias("cost")))
@@ -176,10 +177,11 @@ def cost_actual_vs_standard(t):
     a, pfs = actual(t)
     pf_items = pfs.select(F.col("item_no").cast("string").alias("root_item"), "range").distinct()
     comp, rl = _components(t)
+    pf_items = spread(pf_items)
     comp = comp.join(pf_items.select("root_item").distinct(), "root_item", "left_semi")
     leaf = null_leaf_costs(comp)
-    names = leaf.filter(F.col("level") == 0).select("root_item", F.col("item_description").alias("source_name"),
-                                                    F.col("factory").alias("root_factory"))
+    names = spread(leaf.filter(F.col("level") == 0).select("root_item", F.col("item_description").alias("source_name"),
+                                                           F.col("factory").alias("root_factory")))
     mat = (leaf.filter(F.col("is_leaf") & (F.col("quantity_w_scrap") != 0)).join(pf_items, "root_item")
            .join(names, "root_item"))
     mat = mat.select(
