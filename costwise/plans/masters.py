@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import items as ops
 from ..operators.timeline import join_versions, placed, version_timeline
-from ..session import materialize
+from ..session import materialize, spread
 from ..sources import bom_world as W
 from ..sources import driver as D
 from ..sources import price_world as P
@@ -147,7 +147,8 @@ def headers(t):
     days = F.array(F.lit(W.AS_OF).cast("date"))
     bt, rt = version_timeline(boms, [W.AS_OF]), version_timeline(routes, [W.AS_OF])
     own = (items.filter(F.col("item_type").startswith("PF"))
-           .join(boms.select(F.col("key").alias("production_bom_no")).distinct(), "production_bom_no", "left_semi").withColumn("_days", days))
+           .join(spread(boms.select(F.col("key").alias("production_bom_no")).distinct()), "production_bom_no", "left_semi")
+           .withColumn("_days", days))
     own = join_versions(own, bt, placed(bt), F.col("production_bom_no"), F.col("factory"), "_days", "bom_version", "bom_location")
     own = join_versions(own, rt, placed(rt), F.col("routing_no"), F.coalesce("bom_location", "factory"), "_days", "route_version", "route_location")
     picked = own.select("item_no", "bom_version", "bom_location", "route_version", "route_location")
@@ -186,7 +187,7 @@ def kit_components_full(t):
     kits = kit_components(t).select(F.col("parent").cast("string").alias("kit_no"), F.col("item").cast("string").alias("item_no"), "quantity_per", "uom")
     # what a kit puts out is assembled
     assembled = t.part.filter("p_type = 'PROMO'").select(F.col("p_partkey").alias("item_no"), F.lit(True).alias("_kit"))
-    ledger = D.item_ledger(t).join(assembled, "item_no", "left").select(
+    ledger = D.item_ledger(t).join(spread(assembled), "item_no", "left").select(
         text("item_no"), "posting_date",
         F.when(F.col("_kit") & (F.col("entry_type") == D.ENTRY_OUTPUT), D.ENTRY_ASSEMBLY).otherwise(F.col("entry_type")).alias("entry_type"))
     out = ops.kit_components(kits, written_master(t), headers(t), ledger, item_uom(t))

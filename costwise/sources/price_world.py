@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import QTY
+from ..session import spread
 from . import bom_world as W
 from .tables import Tables
 
@@ -17,8 +18,8 @@ def items(t: Tables) -> DataFrame:
     from ..plans.costs import _cost_inputs
     size = F.col("p_size")
     parents = W.edges(t).select(F.col("parent").alias("_par")).distinct()
-    p = t.part.join(parents, F.col("p_partkey") == F.col("_par"), "left").join(
-        _cost_inputs(t).select("item_no", "nav_unit", "nav_standard", "nav_last"), F.col("p_partkey") == F.col("item_no")).drop("item_no")
+    p = t.part.join(spread(parents), F.col("p_partkey") == F.col("_par"), "left").join(
+        spread(_cost_inputs(t).select("item_no", "nav_unit", "nav_standard", "nav_last")), F.col("p_partkey") == F.col("item_no")).drop("item_no")
     kind = W.item_type(F.col("p_type"))
     return p.select(
         _s(F.col("p_partkey")).alias("item_no"), F.col("p_name").alias("description"),
@@ -85,7 +86,7 @@ def dimensions(t: Tables) -> DataFrame:
 
 def production_orders(t: Tables) -> DataFrame:
     """Production orders of BOMs with their quantity; planned ones are simulated (status 0)."""
-    return t.lineitem.join(t.orders.select("o_orderkey", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return t.lineitem.join(spread(t.orders.select("o_orderkey", "o_orderstatus")), F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat(F.lit("B"), _s(F.col("l_partkey"))).alias("source_no"),
         F.when(F.col("o_orderstatus") == "P", 0).when(F.col("o_orderstatus") == "O", 3).otherwise(4).alias("status"),
         (F.col("l_quantity") * 10).cast(QTY).alias("quantity"))
