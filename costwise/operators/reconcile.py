@@ -87,14 +87,19 @@ def _pair_rows(pairs: DataFrame, rows: DataFrame, keys: Sequence[str], tip: str,
                         F.when(F.col(f"{y}_source_type") != 0, F.col(f"{y}_source_type")))
         sn = F.coalesce(F.when(F.col(f"{x}_source_no") != "", F.col(f"{x}_source_no")),
                         F.when(F.col(f"{y}_source_no") != "", F.col(f"{y}_source_no")))
-        return j.select(
-            "posting_date", F.lit(tip).alias("tip"), "transaction_no", F.col(ex).alias("entry_no"),
-            F.col(f"{x}_account").alias("account"), F.col(ey).alias("bal_entry_no"),
-            F.col(f"{y}_account").alias("bal_account"), st.alias("source_type"), sn.alias("source_no"),
-            F.col(f"{x}_debit").alias("debit"), F.col(f"{x}_credit").alias("credit"),
-            (F.col("item_link") if link else F.lit(None).cast("string")).alias("item_link"))
+        return F.struct(
+            F.lit(tip).alias("tip"), F.col(ex).alias("entry_no"), F.col(f"{x}_account").alias("account"),
+            F.col(ey).alias("bal_entry_no"), F.col(f"{y}_account").alias("bal_account"), st.alias("source_type"),
+            sn.alias("source_no"), F.col(f"{x}_debit").alias("debit"), F.col(f"{x}_credit").alias("credit"))
 
-    return side("a", "b", "e1", "e2").unionByName(side("b", "a", "e2", "e1"))
+    item_link = F.col("item_link") if link else F.lit(None).cast("string")
+    return _both_sides(j, item_link, side("a", "b", "e1", "e2"), side("b", "a", "e2", "e1"))
+
+
+def _both_sides(joined: DataFrame, item_link, one, other) -> DataFrame:
+    """A row of each side for every pair: the pairs are joined once, not once a side."""
+    rows = joined.select("posting_date", "transaction_no", item_link.alias("item_link"), F.explode(F.array(one, other)).alias("_side"))
+    return rows.select(*[F.col(c if c in rows.columns else f"_side.{c}").alias(c) for c in OUT_COLS])
 
 
 _ROW_COLS = ("entry_no", "account", "source_type", "source_no", "debit", "credit")
@@ -112,23 +117,21 @@ def _one_to_many(rest: DataFrame, keys, one: str, many: str, tip_one: str, tip_m
     j = o.join(m, list(keys))
     zero = F.lit(0).cast("decimal(18,2)")
     amt = F.col(f"m_{many}")
-    one_rows = j.select(
-        "posting_date", F.lit(tip_one).alias("tip"), "transaction_no", F.col("o_entry_no").alias("entry_no"),
+    one_rows = F.struct(
+        F.lit(tip_one).alias("tip"), F.col("o_entry_no").alias("entry_no"),
         F.col("o_account").alias("account"), F.col("m_entry_no").alias("bal_entry_no"),
         F.col("m_account").alias("bal_account"),
         F.coalesce(F.when(F.col("o_source_type") != 0, F.col("o_source_type")), F.col("m_source_type")).alias("source_type"),
         F.coalesce(F.when(F.col("o_source_no") != "", F.col("o_source_no")), F.col("m_source_no")).alias("source_no"),
-        (amt if one == "debit" else zero).alias("debit"), (amt if one == "credit" else zero).alias("credit"),
-        F.lit(None).cast("string").alias("item_link"))
-    many_rows = j.select(
-        "posting_date", F.lit(tip_many).alias("tip"), "transaction_no", F.col("m_entry_no").alias("entry_no"),
+        (amt if one == "debit" else zero).alias("debit"), (amt if one == "credit" else zero).alias("credit"))
+    many_rows = F.struct(
+        F.lit(tip_many).alias("tip"), F.col("m_entry_no").alias("entry_no"),
         F.col("m_account").alias("account"), F.col("o_entry_no").alias("bal_entry_no"),
         F.col("o_account").alias("bal_account"),
         F.coalesce(F.when(F.col("m_source_type") != 0, F.col("m_source_type")), F.col("o_source_type")).alias("source_type"),
         F.coalesce(F.when(F.col("m_source_no") != "", F.col("m_source_no")), F.col("o_source_no")).alias("source_no"),
-        (amt if many == "debit" else zero).alias("debit"), (amt if many == "credit" else zero).alias("credit"),
-        F.lit(None).cast("string").alias("item_link"))
-    return one_rows.unionByName(many_rows), rest.join(sel, keys, "left_anti")
+        (amt if many == "debit" else zero).alias("debit"), (amt if many == "credit" else zero).alias("credit"))
+    return _both_sides(j, F.lit(None).cast("string"), one_rows, many_rows), rest.join(sel, keys, "left_anti")
 
 
 def _raw_rows(rest: DataFrame, tip: str, link: bool = False) -> DataFrame:

@@ -330,3 +330,30 @@ def test_explosion_sorts_its_sides_once(spark):
     above = joined._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]  # as it ran
     assert "InMemoryTableScan" in above and above.count("Sort [") == 1, above
     side.unpersist()
+
+
+def test_ledger_pairs_are_joined_once(spark):
+    """Both rows of a pair come from one join of each side: two joins, not four."""
+    d, n = day("2020-01-01"), D(0)
+    rows = spark.createDataFrame(
+        [(d, 1, 1, "61", 0, "", D(5), n), (d, 1, 2, "71", 2, "b", n, D(5)), (d, 1, 3, "62", 1, "c", D(7), n)],
+        "posting_date date, transaction_no long, entry_no long, account string, source_type int, source_no string, debit decimal(18,2), credit decimal(18,2)")
+    pairs = spark.createDataFrame([(d, 1, 1, 2)], "posting_date date, transaction_no long, e1 long, e2 long")
+    out = reconcile._pair_rows(pairs, rows, reconcile.KEYS, reconcile.TIP_PAIR)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2
+    assert sorted((r.entry_no, r.account, r.bal_entry_no, r.source_type, r.source_no, int(r.debit), int(r.credit)) for r in out.collect()) == [
+        (1, "61", 2, 2, "b", 5, 0), (2, "71", 1, 2, "b", 0, 5)]
+    assert tuple(out.columns) == reconcile.OUT_COLS
+
+
+def test_written_steps_leave_no_shuffle_files(spark, monkeypatch):
+    """The shuffle files of a written step go with it; the session's own setting stays."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from costwise import session
+    seen, write, key = [], DataFrameWriter.parquet, session.CLEANUP
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(spark.conf.get(key)), write(self, *a, **k))[1])
+    assert session.materialize(spark.range(5).repartition(3, "id"), "cleanup").count() == 5
+    assert seen == ["true"] and spark.conf.get(key, None) == before
